@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import token_files
+from . import cws, ogg, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +27,35 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.pack_concat(manifest, window=2048)
 
 
+def _payload(docs: DataFrame) -> DataFrame:
+    """UTF-8 bytes with blanks up to a positive multiple of 192."""
+    text = F.coalesce("text", F.lit(""))
+    n = F.octet_length(text)
+    padded = F.greatest(F.ceil(n / 192) * 192, F.lit(192))
+    return docs.select("doc_id", n.cast("long").alias("n_bytes"), F.concat(text, F.repeat(F.lit(" "), (padded - n).cast("int"))).cast("binary").alias("payload"))
+
+
+def op4_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = ogg.ogg_encode(_payload(table(spark, sf_dir, "documents")), "payload").select("doc_id", "n_bytes", "media")
+    back = ogg.ogg_decode(stored)
+    payload = F.col("decoded.payload")
+    return back.select(
+        "doc_id", "n_bytes", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_sha256"), F.crc32(F.substring(payload, -16, 16)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), F.col("decoded.feature").alias("feature"), F.col("decoded.ok").alias("ok"),
+    )
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_warc(table(spark, sf_dir, "pages"), min_revisit_bytes=0)
+    return warc.read_warc(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.edited_likeness(table(spark, sf_dir, "documents"), k=64)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_files, op9_packing)}
+    return {f.__name__: f for f in (op2_token_files, op4_ogg_media, op8_warc, op9_packing, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
