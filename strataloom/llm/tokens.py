@@ -9,12 +9,11 @@ once per worker and looked up afterwards. The memo is bounded.
 from __future__ import annotations
 
 import re
-from collections import ChainMap
 
 import numpy as np
 
-#: Pieces that one worker keeps; those met later are looked up within their batch.
-MEMO = 1_000_000
+#: Pieces that one worker keeps; those met later are forgotten after their batch.
+MEMO = 1_200_000
 _KEEP = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _DROP = re.compile(r"[^ \n\t\r]+")
 #: White space other than blank and newline, and characters on which libraries differ.
@@ -70,13 +69,13 @@ class PieceTokenizer:
             if pieces:
                 new.update(set(pieces).difference(memo))
         if new:
-            learnt = self._learn(list(new))
-            if len(memo) + len(learnt) <= MEMO:
-                memo.update(learnt)
-            else:
-                memo = ChainMap(learnt, memo)
+            memo.update(self._learn(list(new)))
         look = memo.__getitem__
-        return [self._raw(self.tok.encode(t, add_special_tokens=False).ids) if pieces is None else b"".join(map(look, pieces)) for t, pieces in zip(texts, cut)]
+        out = [self._raw(self.tok.encode(t, add_special_tokens=False).ids) if pieces is None else b"".join(map(look, pieces)) for t, pieces in zip(texts, cut)]
+        if len(memo) > MEMO:
+            for piece in new:
+                del memo[piece]
+        return out
 
 
 _by_path: dict[tuple[str, bool], PieceTokenizer] = {}
