@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cws, ogg, token_files, warc
+from . import chat, cws, line_dedup, mixing, ngram_join, ogg, quality, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_removed", F.size(F.split("text", "\n", -1)).alias("n_lines"), F.length("text").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = token_files.write_token_shards(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, drops_space=True)
@@ -35,6 +40,10 @@ def _payload(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", n.cast("long").alias("n_bytes"), F.concat(text, F.repeat(F.lit(" "), (padded - n).cast("int"))).cast("binary").alias("payload"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), n=5, num=80, den=100)
+
+
 def op4_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = ogg.ogg_encode(_payload(table(spark, sf_dir, "documents")), "payload").select("doc_id", "n_bytes", "media")
     back = ogg.ogg_decode(stored)
@@ -45,6 +54,22 @@ def op4_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=[3, 1, 2], total_share=1.5, cap=2.0).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], turns.schema)
+    return chat.read_back(chat.prefix_targets(turns.unionByName(more)))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.predict(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_warc(table(spark, sf_dir, "pages"), min_revisit_bytes=0)
     return warc.read_warc(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
@@ -55,8 +80,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_files, op4_ogg_media, op8_warc, op9_packing, op10_fingerprints)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_token_files, op3_ngram_join, op4_ogg_media, op5_mixing, op6_chat, op7_quality, op8_warc, op9_packing, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_mixing": mixing.ORACLE, "op6_chat": chat.ORACLE}
