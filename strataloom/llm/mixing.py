@@ -36,8 +36,8 @@ START = 0.381966
 
 
 def token_sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words of the whole text)."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    """doc_id, source, size (words of the whole text), text_hash."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
 
 
 def source_targets(sizes: DataFrame, weights: list[float], total_share: float, cap: float) -> DataFrame:
@@ -83,14 +83,15 @@ def ranked(sizes: DataFrame) -> DataFrame:
                 pos = pos + 1 if (s,) == source else 1
                 source = (s,)
                 at.append(pos)
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", "source", "size")), pa.array([part] * len(batch), pa.int32()), pa.array(at, pa.int64())], ["doc_id", "source", "size", "part", "pos"])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array([part] * len(batch), pa.int32()), pa.array(at, pa.int64())], [*kept, "part", "pos"])
 
-    order = ["source", "size", F.md5(F.col("doc_id").cast("string")), "doc_id"]
-    return sizes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(number, "doc_id long, source string, size long, part int, pos long")
+    kept = ["doc_id", "source", "size", "text_hash"]
+    order = ["source", "size", F.md5(F.col("doc_id").cast("string")), "doc_id", "text_hash"]
+    return sizes.select(*kept).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(number, "doc_id long, source string, size long, text_hash long, part int, pos long")
 
 
 def mix(docs: DataFrame, weights: list[float], total_share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """doc_id, source, size, source_size, target, rate, copies, taken for every document."""
+    """doc_id, text_hash, source, size, source_size, target, rate, copies, taken for every document."""
     rows = materialize(ranked(token_sizes(docs)), "ranks")
     targets = source_targets(rows, weights, total_share, cap)
     rates = targets.withColumn("rate", tilted_rate(F.col("source_size"), F.col("target"), cap))
@@ -101,7 +102,7 @@ def mix(docs: DataFrame, weights: list[float], total_share: float = 1.5, cap: fl
     out = rows.join(plan, (rows["part"] == plan["p"]) & rows["source"].eqNullSafe(plan["s"]))
     rank, r = F.col("before") + F.col("pos"), F.col("rate")
     copies = (F.floor(r * rank + START) - F.floor(r * (rank - 1) + START)).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", "rate", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select("doc_id", "text_hash", "source", "size", "source_size", "target", "rate", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 ORACLE = """

@@ -16,9 +16,9 @@ def split_by_bitmap(df: DataFrame, key: Column, wanted: DataFrame, bits: int = B
     (name,) = wanted.columns
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
     words = wanted.select(slot(F.col(name)).alias("s")).groupBy(F.floor(F.col("s") / 64).alias("_word"))
-    words = words.agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), (F.col("s") % 64).cast("int"))).alias("_bits"))
+    words = words.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("s") % 64).cast("int"))).alias("_bits"))
     marked = df.withColumn("_slot", slot(key)).withColumn("_at", F.floor(F.col("_slot") / 64))
     # broadcast: at most ``bits`` / 64 rows of two longs
     marked = marked.join(F.broadcast(words), F.col("_at") == F.col("_word"), "left")
-    hit = F.shiftrightunsigned(F.coalesce("_bits", F.lit(0).cast("long")), (F.col("_slot") % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+    hit = F.call_function("shiftrightunsigned", F.coalesce("_bits", F.lit(0).cast("long")), (F.col("_slot") % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
     return marked.withColumn("may_match", hit).drop("_slot", "_at", "_word", "_bits")
