@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 K = 64
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 #: Terms whose draws a worker keeps; for others they are made anew.
-_KEPT_ONCE, _KEPT_MORE = 150_000, 40_000
+_KEPT_ONCE, _KEPT_MORE = 500_000, 40_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,7 +49,7 @@ class Sampler:
 
     def __init__(self, k: int = K):
         self.k = k
-        self._steps = (np.arange(5 * k, dtype=np.uint64) + np.uint64(1)) * _GOLDEN
+        self._steps = (np.arange(-(-5 * k // 2), dtype=np.uint64) + np.uint64(1)) * _GOLDEN
         #: Of terms that occur once in a document only ln a is needed, of others r, ln c and b.
         self._once: dict[str, int] = {}
         self._more: dict[str, int] = {}
@@ -67,8 +67,8 @@ class Sampler:
         out = np.empty((len(words), 3, self.k), np.float32)
         for i in range(0, len(words), 512):
             h = self._hash(words[i : i + 512])
-            bits = _mix(h[:, None] + self._steps)
-            u = ((bits >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24)
+            bits = _mix(h[:, None] + self._steps).view(np.uint32)[:, : 5 * self.k]  # two numbers of each word
+            u = ((bits >> np.uint32(8)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24)
             u = u.reshape(len(h), 5, self.k)
             out[i : i + 512, 0] = -np.log(u[:, 0] * u[:, 1])
             out[i : i + 512, 1] = np.log(-np.log(u[:, 2] * u[:, 3]))
