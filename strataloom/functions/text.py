@@ -101,7 +101,7 @@ def quality_score(c: Column, ratio: Column, min_ratio: float = 0.03, min_length:
     has_list = F.contains(c, F.lit("\n- ")) | F.contains(c, F.lit("\n* ")) | F.contains(c, F.lit("\n1. ")) | F.contains(c, F.lit("\n|"))
     point = lambda cond: F.when(cond, 0.1).otherwise(0.0)
     structure = F.lit(0.1) + point(F.contains(c, F.lit("#"))) + point(has_list) + point(F.size(F.split(c, "\n\n", -1)) >= 3)
-    return F.when(n < min_length, 0.0).otherwise(F.round(size + language + structure, 3))
+    return F.when(n < min_length, 0.0).otherwise(F.floor((size + language + structure) * 1000 + 0.5) / 1000)
 
 
 def quality_gate(c: Column, ratio: Column, min_ratio: float = 0.03, min_length: int = 50) -> Column:
@@ -142,12 +142,20 @@ def dedup_key(c: Column) -> Column:
     return F.lower(strip(F.regexp_replace(F.regexp_replace(c, r"(?U)^[\s#*\->|]+", ""), r"(?U)\s+", " ")))
 
 
+def bind(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def shingles(c: Column, k: int = 3) -> Column:
     """Distinct runs of k words (``[\\p{L}\\p{N}_]+``); shorter texts are one; none without words."""
-    w = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    n = F.size(w)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, F.lit(k)), " "))
-    return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(runs))
+
+    def runs(w: Column) -> Column:
+        n = F.size(w)
+        each = F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, F.lit(k)), " "))
+        return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(each))
+
+    return bind(F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)), runs)
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -71,9 +71,12 @@ def pack(sentences: Column, size: int, overlap: int, least: int) -> Column:
 
     def step(s: Column, x: Column) -> Column:
         full = (s["len"] + F.length(x) > size) & (F.size(s["cur"]) > 0)
-        kept = suffix(s["cur"])
-        tail = F.when(kept["k"] > 0, F.slice(s["cur"], F.size(s["cur"]) - kept["k"] + 1, F.greatest(kept["k"], F.lit(1)))).otherwise(empty)
-        flushed = F.struct(F.array_append(tail, x).alias("cur"), (kept["n"] + F.length(x)).alias("len"), emit(s["out"], s["cur"]).alias("out"))
+
+        def flush(kept: Column) -> Column:
+            tail = F.when(kept["k"] > 0, F.slice(s["cur"], F.size(s["cur"]) - kept["k"] + 1, F.greatest(kept["k"], F.lit(1)))).otherwise(empty)
+            return F.struct(F.array_append(tail, x).alias("cur"), (kept["n"] + F.length(x)).alias("len"), emit(s["out"], s["cur"]).alias("out"))
+
+        flushed = text.bind(suffix(s["cur"]), flush)
         grown = F.struct(F.array_append(s["cur"], x).alias("cur"), (s["len"] + F.length(x)).alias("len"), s["out"].alias("out"))
         return F.when(full, flushed).otherwise(grown)
 

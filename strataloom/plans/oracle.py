@@ -67,7 +67,7 @@ def score(x: str, r: str) -> str:
     point = lambda c: f"CASE WHEN {c} THEN {d(0.1)} ELSE {d(0.0)} END"
     structure = f"({d(0.1)} + {point(f'contains({x}, {lit(chr(35))})')} + {point(has_list)} + {point(f'len(string_split({x}, chr(10) || chr(10))) >= 3')})"
     language = f"CASE WHEN {r} >= 0.08 THEN {d(0.3)} WHEN {r} >= 0.03 THEN {d(0.2)} ELSE {d(0.05)} END"
-    return f"(CASE WHEN {n} < 50 THEN 0.0::DOUBLE ELSE round(least({d(0.3)}, {n}::DOUBLE / 1000 * {d(0.3)}) + ({language}) + {structure}, 3) END)"
+    return f"(CASE WHEN {n} < 50 THEN 0.0::DOUBLE ELSE floor((least({d(0.3)}, {n}::DOUBLE / 1000 * {d(0.3)}) + ({language}) + {structure}) * 1000 + 0.5::DOUBLE) / 1000 END)"
 
 
 def gate(x: str, r: str) -> str:

@@ -48,9 +48,9 @@ def read_sources_csv(spark: SparkSession, path: str, default_category: str = "tr
 
 
 def read_pages(spark: SparkSession, folder: str, glob: str = "*.html") -> DataFrame:
-    """(file, path, content): whole files as UTF-8, bytes that are none replaced."""
+    """(file, path, content): whole files as UTF-8, bytes that are none dropped."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "path", F.decode("content", F.lit("utf-8")).alias("content"))
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "path", F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("\ufffd"), F.lit("")).alias("content"))
 
 
 def list_files(spark: SparkSession, folder: str, glob: str, least_bytes: int = 1000) -> DataFrame:
