@@ -31,11 +31,21 @@ class Config:
     core: list[str] = field(default_factory=lambda: fixed.CORE_CATEGORIES)
 
 
-def cleaned(bronze: DataFrame, config: Config = Config()) -> DataFrame:
-    """``bronze`` with markdown, ratio, quality_score and low_quality."""
+def cleaned(bronze: DataFrame, config: Config = Config(), written: bool = True) -> DataFrame:
+    """``bronze`` with markdown, ratio, quality_score and low_quality.
+
+    The clean text is written and read again: later filters would otherwise be
+    pushed below it and compute it several times over. ``written=False`` leaves that out, for streams.
+    """
     raw = F.coalesce("raw_content", F.lit(""))
-    d = bronze.withColumn("markdown", text.normalize(text.strip_boilerplate(raw), config.compose))
+    # a column a step: each is used more than once by the next, and so is computed once
+    d = bronze.withColumn("markdown", text.strip_boilerplate(raw))
+    if config.compose:
+        d = d.withColumn("markdown", text.nfc(F.col("markdown")))
+    d = d.withColumn("markdown", text.modern_tones(F.col("markdown"))).withColumn("markdown", text.typography(F.col("markdown")))
     d = d.withColumn("ratio", text.diacritic_ratio(F.col("markdown")))
+    if written:
+        d = dedup.checkpoint(d, "clean")
     d = d.withColumn("quality_score", text.quality_score(F.col("markdown"), F.col("ratio"), config.min_diacritic_ratio, config.min_doc_length))
     passed = text.quality_gate(F.col("markdown"), F.col("ratio"), config.min_diacritic_ratio, config.min_doc_length)
     return d.withColumn("low_quality", (text.strip(raw) == "") | ~passed)

@@ -16,7 +16,7 @@ from ..plans.medallion import Config, cleaned
 def silver_stream(spark: SparkSession, folder: str, schema: str, config: Config = Config(), late: str = "1 day") -> DataFrame:
     """Documents of Parquet files in ``folder`` (bronze columns and ``arrived``), cleaned, gated and distinct within ``late``."""
     raw = spark.readStream.schema(schema).parquet(folder).withWatermark("arrived", late)
-    good = cleaned(raw, config).filter("not low_quality").withColumn("checksum_sha256", F.sha2("markdown", 256))
+    good = cleaned(raw, config, written=False).filter("not low_quality").withColumn("checksum_sha256", F.sha2("markdown", 256))
     return good.dropDuplicatesWithinWatermark(["checksum_sha256"])
 
 
