@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -50,7 +51,10 @@ def near_copies(rng: random.Random) -> list[str | None]:
     return out
 
 
-def test_ngram_join_equals_brute_force(spark):
+@pytest.mark.parametrize(("stars", "tile"), [(3, 2048), (0, 16)])
+def test_ngram_join_equals_brute_force(spark, monkeypatch, stars, tile):
+    monkeypatch.setattr(ngram_join, "STARS", stars)
+    monkeypatch.setattr(ngram_join, "TILE", tile)
     texts = near_copies(random.Random(5))
     df = spark.createDataFrame([(i * 3, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, component_id string").repartition(5)
 
