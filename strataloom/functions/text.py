@@ -88,8 +88,8 @@ def strip_boilerplate(c: Column, patterns: tuple[str, ...] = fixed.BOILERPLATE)
 
 def diacritic_ratio(c: Column) -> Column:
     """Share of letters with Vietnamese diacritics; 0 without letters."""
-    letters = F.length(F.regexp_replace(c, r"[^\p{L}]", ""))
-    marked = F.length(F.regexp_replace(c, f"[^{fixed.DIACRITICS}]", ""))
+    letters = F.length(c) - F.length(F.regexp_replace(c, r"\p{L}+", ""))
+    marked = F.length(c) - F.length(F.regexp_replace(c, f"[{fixed.DIACRITICS}]+", ""))
     return F.when(letters > 0, marked / letters).otherwise(0.0)
 
 
