@@ -9,16 +9,26 @@ from pyspark.sql import functions as F
 BITS = 1 << 22
 
 
-def split_by_bitmap(df: DataFrame, key: Column, wanted: DataFrame, bits: int = BITS) -> DataFrame:
-    """``df`` with a boolean ``may_match``: false only where ``key`` (a long) is not
-    in ``wanted`` (one long column). Rows with false need no shuffle to be told apart
-    from those that a join with ``wanted`` would find."""
+def _bitmap(df: DataFrame, key: Column, wanted: DataFrame, bits: int) -> tuple[DataFrame, DataFrame, Column]:
     (name,) = wanted.columns
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
     words = wanted.select(slot(F.col(name)).alias("s")).groupBy(F.floor(F.col("s") / 64).alias("_word"))
     words = words.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("s") % 64).cast("int"))).alias("_bits"))
     marked = df.withColumn("_slot", slot(key)).withColumn("_at", F.floor(F.col("_slot") / 64))
-    # broadcast: at most ``bits`` / 64 rows of two longs
-    marked = marked.join(F.broadcast(words), F.col("_at") == F.col("_word"), "left")
     hit = F.call_function("shiftrightunsigned", F.coalesce("_bits", F.lit(0).cast("long")), (F.col("_slot") % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
-    return marked.withColumn("may_match", hit).drop("_slot", "_at", "_word", "_bits")
+    # broadcast: at most ``bits`` / 64 rows of two longs
+    return marked, F.broadcast(words), hit
+
+
+def split_by_bitmap(df: DataFrame, key: Column, wanted: DataFrame, bits: int = BITS) -> DataFrame:
+    """``df`` with a boolean ``may_match``: false only where ``key`` (a long) is not
+    in ``wanted`` (one long column). Rows with false need no shuffle to be told apart
+    from those that a join with ``wanted`` would find."""
+    marked, words, hit = _bitmap(df, key, wanted, bits)
+    return marked.join(words, F.col("_at") == F.col("_word"), "left").withColumn("may_match", hit).drop("_slot", "_at", "_word", "_bits")
+
+
+def keep_by_bitmap(df: DataFrame, key: Column, wanted: DataFrame, bits: int = BITS) -> DataFrame:
+    """The rows of ``df`` whose ``key`` may be in ``wanted``."""
+    marked, words, hit = _bitmap(df, key, wanted, bits)
+    return marked.join(words, (F.col("_at") == F.col("_word")) & hit).drop("_slot", "_at", "_word", "_bits")
