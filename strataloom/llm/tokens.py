@@ -13,7 +13,7 @@ import re
 import numpy as np
 
 #: Pieces that one worker keeps; those met later are forgotten after their batch.
-MEMO = 1_200_000
+MEMO = 900_000
 _KEEP = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _DROP = re.compile(r"[^ \n\t\r]+")
 #: White space other than blank and newline, and characters on which libraries differ.
@@ -36,6 +36,10 @@ class PieceTokenizer:
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.drops, self.memo = drops_space, {}
+        if not drops_space:
+            self.n_bytes = np.zeros(self.tok.get_vocab_size(), np.int64)
+            for token, i in self.tok.get_vocab().items():
+                self.n_bytes[i] = len(token)
 
     def _raw(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
@@ -43,37 +47,44 @@ class PieceTokenizer:
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Encode pieces, many at a time where joining them is harmless: those
         that begin with white space and end with something else, or words with
-        a blank put between."""
+        a blank put between. Pieces with odd white space are left out."""
         if self.drops:
-            joinable, alone, gap = pieces, [], 1
+            joinable, alone = pieces, []
         else:
+            pieces = [p for p in pieces if not _ODD.search(p)]
             joinable = [p for p in pieces if p[0] in " \n" and p[-1] not in " \n"]
-            alone, gap = [p for p in pieces if p[0] not in " \n" or p[-1] in " \n"], 0
-        out = {p: self._raw(e.ids) for p, e in zip(alone, self.tok.encode_batch(alone, add_special_tokens=False))}
+            alone = [p for p in pieces if p[0] not in " \n" or p[-1] in " \n"]
+        out = {p: self._raw(e.ids) for p, e in zip(alone, self.tok.encode_batch_fast(alone, add_special_tokens=False))}
         for k in range(0, len(joinable), 512):
             group = joinable[k : k + 512]
-            enc = self.tok.encode((" " * gap).join(group), add_special_tokens=False)
-            ends = np.cumsum([len(x) + gap for x in group])
-            at = np.searchsorted(ends, np.fromiter((a for a, _ in enc.offsets), np.int64, len(enc)), "right")
-            cuts = (np.searchsorted(at, np.arange(len(group) + 1)) * self.dtype.itemsize).tolist()
-            raw = self._raw(enc.ids)
-            for i, piece in enumerate(group):
-                out[piece] = raw[cuts[i] : cuts[i + 1]]
+            if self.drops:
+                enc = self.tok.encode(" ".join(group), add_special_tokens=False)
+                ends = np.cumsum([len(x) + 1 for x in group])
+                at = np.searchsorted(ends, np.fromiter((a for a, _ in enc.offsets), np.int64, len(enc)), "right")
+                cuts, ids = np.searchsorted(at, np.arange(len(group) + 1)), np.array(enc.ids, self.dtype)
+            else:  # every token stands for as many bytes as its name has letters
+                ids = np.array(self.tok.encode_batch_fast(["".join(group)], add_special_tokens=False)[0].ids, self.dtype)
+                ends = np.cumsum([len(x.encode()) for x in group])
+                cuts = np.concatenate([[0], np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, "left") + 1])
+            raw, at = ids.tobytes(), (cuts * self.dtype.itemsize).tolist()
+            out.update((piece, raw[x:y]) for piece, x, y in zip(group, at, at[1:]))
         return out
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        split = (_DROP if self.drops else _KEEP).findall
-        cut = [None if not self.drops and _ODD.search(t) else split(t) for t in texts]
+        cut = list(map((_DROP if self.drops else _KEEP).findall, texts))
         memo, new = self.memo, set()
         for pieces in cut:
-            if pieces:
-                new.update(set(pieces).difference(memo))
-        if new:
-            memo.update(self._learn(list(new)))
-        look = memo.__getitem__
-        out = [self._raw(self.tok.encode(t, add_special_tokens=False).ids) if pieces is None else b"".join(map(look, pieces)) for t, pieces in zip(texts, cut)]
+            new.update(set(pieces).difference(memo))
+        learnt = self._learn(list(new)) if new else {}
+        memo.update(learnt)
+        look, out = memo.__getitem__, []
+        for t, pieces in zip(texts, cut):
+            try:
+                out.append(b"".join(map(look, pieces)))
+            except KeyError:  # odd white space: the text in one go
+                out.append(self._raw(self.tok.encode(t, add_special_tokens=False).ids))
         if len(memo) > MEMO:
-            for piece in new:
+            for piece in learnt:
                 del memo[piece]
         return out
 
