@@ -60,7 +60,7 @@ class Sampler:
     def _hash(words: list[str]) -> np.ndarray:
         import xxhash
 
-        return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
     def _draws(self, words: list[str]) -> np.ndarray:
         """(words, 3, k): r, ln c and b."""
@@ -77,8 +77,8 @@ class Sampler:
 
     def _rows_once(self, words: list[str]) -> np.ndarray:
         """ln a of terms of weight 1, where t = 0: ln c + r b - r."""
-        new = [w for w in words if w not in self._once]
-        extra = None
+        once, extra = self._once, None
+        new = [w for w in words if w not in once]
         if new:
             d = self._draws(new)
             made = d[:, 1] + d[:, 0] * d[:, 2] - d[:, 0]
@@ -93,7 +93,7 @@ class Sampler:
             else:
                 extra = made
         if extra is None:
-            return self._ln_a[np.fromiter((self._once[w] for w in words), np.int64, len(words))]
+            return self._ln_a[np.fromiter(map(self._once.__getitem__, words), np.int64, len(words))]
         at = {w: -1 - i for i, w in enumerate(new)}
         ids = np.fromiter((self._once[w] if w in self._once else at[w] for w in words), np.int64, len(words))
         out = np.empty((len(words), self.k), np.float32)
@@ -114,15 +114,14 @@ class Sampler:
             self._rcb[self._n_more : need] = self._draws(new)
             self._more.update(zip(new, range(self._n_more, need)))
             self._n_more = need
-        return self._rcb[np.fromiter((self._more[w] for w in words), np.int64, len(words))]
+        return self._rcb[np.fromiter(map(self._more.__getitem__, words), np.int64, len(words))]
 
     def samples(self, weights: dict[str, int]) -> np.ndarray:
         """k 16-bit samples of a weighted set; zeros for the empty one."""
         if not weights:
             return np.zeros(self.k, np.uint16)
-        words, counts = list(weights), np.fromiter(weights.values(), np.float64, len(weights))
-        once = [w for w, n in zip(words, counts) if n == 1]
-        more = [w for w, n in zip(words, counts) if n != 1]
+        once = [w for w, n in weights.items() if n == 1]
+        more = [w for w, n in weights.items() if n != 1]
         best = np.full(self.k, np.inf, np.float32)
         pick = np.zeros(self.k, np.int64)
         level = np.zeros(self.k, np.int64)
@@ -133,7 +132,7 @@ class Sampler:
             least = a[j, cols]
             win = least < best
             best[win], pick[win] = least[win], i + j[win]
-        ln_w = np.log(counts[counts != 1]).astype(np.float32)
+        ln_w = np.log(np.fromiter(map(weights.__getitem__, more), np.float64, len(more))).astype(np.float32)
         for i in range(0, len(more), 4096):
             d = self._rows_more(more[i : i + 4096])
             r, ln_c, b = d[:, 0], d[:, 1], d[:, 2]
