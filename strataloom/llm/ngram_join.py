@@ -15,8 +15,9 @@ The result is the classes that links span.
 3. The matrix is cut in blocks of columns. A block's task multiplies: it
    adds up, for pairs of documents within the size bound, the columns they share.
    The sums over all blocks must reach the bound k(min(x, y)), and each document
-   of a pair must share as many columns with anyone as the overlap that their
-   sizes ask for leaves room for (all that precede the rest of its set); other pairs are dropped.
+   of a pair must share so many columns with anyone: of the overlap that their sizes
+   ask for, all but what can stand outside the prefix of the one that leaves out more
+   (both prefixes hold the first common n-grams, up to where the first of them ends); other pairs are dropped.
 4. Long columns (more than ``LONG`` documents) are not multiplied out: a few
    of a column's documents, those in most long columns first, are tried against
    the others, and then only pairs that are in different classes still and
@@ -321,14 +322,14 @@ def _across(own: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFram
         tile, node, comp, size, s, i, j = (t[c].to_numpy() for c in ("tile", "node", "component", "size", "s", "i", "j"))
         sk = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
         full = (sk == 255).any(1)
-        room = s + -(-num * size // den) - first_common(size)
+        outside = -(-num * size // den) - first_common(size)
         first, second = np.flatnonzero(tile == i[0]), np.flatnonzero(tile == j[0])
         a, b = [], []
         for x in first:
             y = second[node[second] > node[x]] if i[0] == j[0] else second
             lo, hi = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
-            overlap = -(-(size[x] + size[y]) * num // (num + den))
-            y = y[(comp[y] != comp[x]) & (lo * den >= hi * num) & (room[x] >= overlap) & (room[y] >= overlap)]
+            y = y[(comp[y] != comp[x]) & (lo * den >= hi * num)]
+            y = y[np.minimum(s[x], s[y]) + np.maximum(outside[x], outside[y]) >= -(-(size[x] + size[y]) * num // (num + den))]
             for k in range(0, len(y), 1024):
                 z = y[k : k + 1024]
                 least = np.minimum(sk[x], sk[z]).sum(1, dtype=np.int64)
@@ -380,7 +381,8 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     def reach(s: Column, own: Column, other: Column) -> Column:
         """Whether a document's columns shared with anyone allow for the overlap with one of the other size."""
         overlap = F.ceil((own + other) * num / (num + den) - 1e-9)
-        return s >= overlap - F.ceil(own * num / den - 1e-9) + prefix_k(own)
+        outside = lambda x: F.ceil(x * num / den - 1e-9) - prefix_k(x)
+        return s >= overlap - F.greatest(outside(own), outside(other))
 
     short = product.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= k)
     for x, y in (("a", "b"), ("b", "a")):

@@ -69,6 +69,25 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch, stars, tile):
     assert len(set(expected)) < len(texts) - 60
 
 
+@pytest.mark.parametrize(("stars", "tile"), [(3, 2048), (0, 16)])
+def test_ngram_join_of_unlike_sizes_equals_brute_force(spark, monkeypatch, stars, tile):
+    """Copies with words added or cut at the end, in groups below and above the length of a long column."""
+    monkeypatch.setattr(ngram_join, "STARS", stars)
+    monkeypatch.setattr(ngram_join, "TILE", tile)
+    rng = random.Random(17)
+    texts = []
+    for members in [2] * 12 + [4] * 8 + [10] * 4 + [ngram_join.LONG + 8] * 2:
+        base = rng.choices(WORDS, k=rng.randint(60, 160))
+        texts.append(" ".join(base))
+        for _ in range(members - 1):
+            n = round(len(base) * rng.choice([0.1, 0.15, 0.2, 0.24]))
+            texts.append(" ".join(base + rng.choices(WORDS, k=n) if rng.random() < 0.5 else base[: len(base) - round(0.8 * n)]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    expected = components(len(texts), lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    assert {r.doc_id: r.component_id for r in ngram_join.jaccard_classes(df).collect()} == dict(enumerate(expected))
+
+
 def test_ngram_join_odd_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.jaccard_classes(empty).count() == 0
