@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), line_dedup.PUNCT)
     return out.select("doc_id", "n_removed", F.size(F.split("text", "\n", -1)).alias("n_lines"), F.length("text").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 

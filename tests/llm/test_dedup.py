@@ -178,6 +178,20 @@ def test_line_dedup_equals_brute_force(spark):
     assert sum(len(t or "") for _, t in docs) > 1.3 * sum(len(t or "") for t in expected.values())
 
 
+def test_line_dedup_without_punctuation(spark):
+    """The registered query's lines are equal if they differ in ASCII punctuation only; lines of nothing else stay."""
+    docs = [(1, "Hello, world.\n---"), (2, "hello world\n---"), (3, "(Hello) -- 'world'!\n* * *"), (4, "a_b c\n***"), (5, "A B C"), (6, "hello w\u00f6rld\n\u2014")]
+    out = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), line_dedup.PUNCT)
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "Hello, world.\n---", 2: "---", 3: "* * *", 4: "a_b c\n***", 5: "", 6: "hello w\u00f6rld\n\u2014"}
+
+
+def test_query_of_lines_ignores_punctuation(spark, tmp_path):
+    from strataloom.llm.queries import op1_line_dedup
+
+    spark.createDataFrame([(1, "Hello, world."), (2, "hello world"), (3, "...")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.n_removed for r in op1_line_dedup(spark, str(tmp_path)).collect()} == {1: 0, 2: 1, 3: 0}
+
+
 def test_line_dedup_odd_tables(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     df = spark.createDataFrame([(None, "a b"), (1, "a b"), (1, "a b"), (2, "a  B")], "doc_id long, text string")
