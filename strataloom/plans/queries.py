@@ -173,6 +173,14 @@ def chunk_sizes(spark, sf_dir):
     return c.select("chunk_id", "heading_context", "content", "token_estimate", "char_count")
 
 
+@_query
+def chunk_sizes_whole(spark, sf_dir):
+    """As chunk_sizes, of whole texts with all their lines and headings, which SQL does not tell."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("# "), "source", F.lit("\n"), F.coalesce(F.col("text"), F.lit(""))).alias("markdown"))
+    c = chunking.chunks(d, size=1_000_000)
+    return c.select("chunk_id", "heading_context", "content", "token_estimate", "char_count")
+
+
 # --- classification
 
 

@@ -173,3 +173,27 @@ def test_stream(spark, tmp_path):
     for _ in range(2):
         run_available(silver_stream(spark, str(tmp_path / "in"), schema, medallion.Config(compose=False)), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_chunk_sizes_of_whole_texts_equal_brute_force(spark, tmp_path):
+    from strataloom.plans.queries import chunk_sizes_whole
+
+    tail = "what comes after the second full stop is kept as well, to the last word"
+    docs = [(1, "s", f"one. two. three. {tail}."), (2, "t", f"a line. b. c.\nsecond line of it. {tail}\n## Part\nd. e. f. {tail}\n### Deep\ntoo short\n## Next\n{tail} g. h."), (3, "u", None), (4, "v", "short. one. here")]
+    spark.createDataFrame(docs, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    expected = set()
+    for d, source, t in docs:
+        path, parts = {1: source}, [([source], [])]
+        for line in (t or "").split("\n"):
+            marks = len(line) - len(line.lstrip("#"))
+            if marks:
+                path = {k: v for k, v in path.items() if k < marks} | {marks: line[marks:].strip()}
+                parts.append(([path[k] for k in sorted(path)], []))
+            else:
+                parts[-1][1].append(line)
+        bodies = [(" > ".join(p), "\n".join(b).strip()) for p, b in parts if len("\n".join(b).strip()) >= 40]
+        for i, (p, b) in enumerate(bodies):
+            content = f"[{p}]\n{b}"
+            expected.add((f"{d}_{i}", p, content, len(content.split()), len(content)))
+    assert {tuple(r) for r in chunk_sizes_whole(spark, str(tmp_path)).collect()} == expected
+    assert len(expected) == 4
