@@ -32,5 +32,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components have not settled in {rounds} rounds")
     roots = e.select(F.col("v").alias("node")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))

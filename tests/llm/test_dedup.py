@@ -209,6 +209,17 @@ def test_components(spark):
     assert got == {x: nodes[c] for x, c in zip(nodes, expected)}
 
 
+def test_unsettled_rounds_are_an_error(spark):
+    from strataloom.operators.dedup import greedy_keep
+
+    chain = spark.createDataFrame([(i, i + 1) for i in range(8)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        greedy_keep(chain, rounds=2)
+    with pytest.raises(RuntimeError):
+        connected_components(chain, rounds=1)
+    assert {(r.item, r["into"]) for r in greedy_keep(chain).collect()} == {(1, 0), (3, 2), (5, 4), (7, 6)}
+
+
 def test_only_functions_on_the_main_path(spark, sf):
     plan = line_dedup.dedup_lines(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").withColumn("z", F.lit(1)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
