@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..operators import chunking, classify, dedup
+from ..store import materialize
 
 
 @dataclass(frozen=True)
@@ -45,7 +46,7 @@ def cleaned(bronze: DataFrame, config: Config = Config(), written: bool = True)
     d = d.withColumn("markdown", text.modern_tones(F.col("markdown"))).withColumn("markdown", text.typography(F.col("markdown")))
     d = d.withColumn("ratio", text.diacritic_ratio(F.col("markdown")))
     if written:
-        d = dedup.checkpoint(d, "clean")
+        d = materialize(d, "clean")
     d = d.withColumn("quality_score", text.quality_score(F.col("markdown"), F.col("ratio"), config.min_diacritic_ratio, config.min_doc_length))
     passed = text.quality_gate(F.col("markdown"), F.col("ratio"), config.min_diacritic_ratio, config.min_doc_length)
     return d.withColumn("low_quality", (text.strip(raw) == "") | ~passed)
@@ -87,7 +88,7 @@ def gold_chunks(judged: DataFrame, config: Config = Config()) -> DataFrame:
         c = c.withColumn("duplicate_doc_sources", F.array().cast("array<string>")).withColumn("duplicate_count", F.lit(0))
     c = c.withColumn("topic", F.coalesce("topic", F.nullif("category", F.lit("")), F.lit("all")))
     if config.dedup_near:
-        return dedup.near_chunks(dedup.checkpoint(c, "exact"), config.dedup_threshold, config.shingle_k)
+        return dedup.near_chunks(materialize(c, "exact"), config.dedup_threshold, config.shingle_k)
     return c.withColumn("near_duplicate_merged", F.lit(0))
 
 
