@@ -1,56 +1,17 @@
-"""Files and tables in the folder that driver and executors share.
-
-The folder is the one the cluster names in ``spark.checkpoint.dir``. Every
-call gets a directory of its own below it, removed when the driver exits.
-"""
+"""Files in the shared folder, and the store's tables (see ``strataloom.store``)."""
 
 from __future__ import annotations
 
-import atexit
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
-
-_made: list[str] = []
-
-
-def shared_base(spark: SparkSession) -> str:
-    """URI of the shared folder; a folder of our own only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
-            base = tempfile.mkdtemp(prefix="strataloom-")
-            _made.append(base)
-        else:
-            base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_strataloom"
-        spark.sparkContext.setCheckpointDir(base)
-    return f"file://{base}" if base.startswith("/") else base
-
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new directory URI for one call."""
-    uri = f"{shared_base(spark).rstrip('/')}/strataloom/{name}-{uuid.uuid4().hex}"
-    _made.append(uri)
-    return uri
+from ..store import drop, free_shuffles, materialize, scope, shared_base, shared_dir
 
-
-def need_checkpoints(spark: SparkSession) -> None:
-    """Make checkpoint() usable."""
-    shared_base(spark)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it: lineage ends there and is
-    not recomputed when an executor is lost."""
-    spark = df.sparkSession
-    uri = shared_dir(spark, name)
-    df.write.mode("overwrite").parquet(uri)
-    return spark.read.schema(df.schema).parquet(uri)
+__all__ = ["drop", "filesystem", "free_shuffles", "materialize", "read_file", "scope", "shared_base", "shared_dir", "write_file"]
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -80,13 +41,3 @@ def read_file(uri: str) -> pa.Buffer:
     fs, path = filesystem(uri)
     with fs.open_input_file(path) as f:
         return f.read_buffer()
-
-
-@atexit.register
-def _clean() -> None:
-    for uri in _made:
-        try:
-            fs, path = filesystem(f"file://{uri}" if uri.startswith("/") else uri)
-            fs.delete_dir(path)
-        except (OSError, pa.ArrowException, FileNotFoundError):
-            pass  # gone already, or the store is away: nothing depends on it now

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import random
+import re
 
+import numpy as np
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from strataloom.llm import line_dedup, ngram_join
@@ -96,56 +97,44 @@ def test_ngram_join_odd_tables(spark):
     assert got == sorted([(None, 2, None), (4, 2, None), (4, 2, None), (9, 1, 9)], key=repr)
 
 
-def python_line_dedup(docs):
-    """(doc_id, text) -> kept text, by all pairs of distinct normalised units."""
-    import re
-
-    def signed(x):
-        return x - (1 << 64) if x >= 1 << 63 else x
-
-    def units(text):
-        for i, line in enumerate(text.split("\n")):
-            for k in range(0, max(len(line), 1), line_dedup.UNIT):
-                piece = line[k : k + line_dedup.UNIT]
-                w = [x for x in re.split(r"[ \t\r\x0b\x0c]+", piece.lower()) if x]
-                yield i, k, piece, " ".join(w)
-
-    def sim(norm):
-        hs = [xxhash.xxh64_intdigest(w, 42) for w in set(norm.split(" "))]
-        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
-
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1]
+def distance(a, b):
+    """Edit distance, a row of the table at a time."""
+    y, row = np.array([ord(c) for c in b], np.int64), np.arange(len(b) + 1)
+    at = np.arange(len(b) + 1)
+    for i, c in enumerate(a, 1):
+        new = np.empty_like(row)
+        new[0] = i
+        new[1:] = np.minimum(row[1:] + 1, row[:-1] + (y != ord(c)))
+        row = np.minimum.accumulate(new - at) + at
+    return int(row[-1])
+
+
+def alike(a, b):
+    """Edit similarity of 0.8 or more."""
+    m = max(len(a), len(b))
+    return 5 * abs(len(a) - len(b)) <= m and 5 * distance(a, b) <= m
+
+
+def normalised(line):
+    return " ".join(x for x in re.split(r"[ \t\r\x0b\x0c]+", line.lower()) if x)
+
 
+def python_line_dedup(docs):
+    """(doc_id, text) -> kept text, by the edit similarity of all pairs of distinct normalised lines, and no other test."""
     seen = {}
     for d, text in docs:
-        th = signed(xxhash.xxh64_intdigest((text or "").encode(), 42))
-        for i, k, _, norm in units(text or ""):
-            if norm:
-                seen.setdefault(norm, []).append((d, th, i, k))
+        for i, line in enumerate((text or "").split("\n")):
+            if normalised(line):
+                seen.setdefault(normalised(line), []).append((d, i))
     norms = list(seen)
-    sims = [sim(x) for x in norms]
-    linked = lambda a, b: (sims[a] ^ sims[b]).bit_count() <= 3 and 5 * distance(norms[a], norms[b]) <= max(len(norms[a]), len(norms[b]))
-    group = dict(zip(norms, components(len(norms), linked)))
+    group = dict(zip(norms, components(len(norms), lambda a, b: alike(norms[a], norms[b]))))
     keep = {}
     for x, g in group.items():
         keep[g] = min(keep.get(g, min(seen[x])), min(seen[x]))
     out = {}
     for d, text in docs:
-        if text is None:
-            out[d] = None
-            continue
-        th = signed(xxhash.xxh64_intdigest(text.encode(), 42))
-        lines = {}
-        for i, k, piece, norm in units(text):
-            if not norm or keep[group[norm]] == (d, th, i, k):
-                lines.setdefault(i, []).append(piece)
-        out[d] = "\n".join("".join(lines[i]) for i in sorted(lines))
+        kept = [line for i, line in enumerate((text or "").split("\n")) if not normalised(line) or keep[group[normalised(line)]] == (d, i)]
+        out[d] = None if text is None else "\n".join(kept)
     return out
 
 
@@ -178,6 +167,79 @@ def test_line_dedup_equals_brute_force(spark):
     assert sum(len(t or "") for _, t in docs) > 1.3 * sum(len(t or "") for t in expected.values())
 
 
+def test_line_dedup_recall(spark):
+    """Links found, of all with an edit similarity of 0.8 or more, by length of lines: one letter changed, and up to 5, 10 and 20 % of the words."""
+    rng = random.Random(23)
+    voc = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 10))) for _ in range(5000)]
+    lines, wanted = [], []
+    for words in (3, 5, 8, 12, 20, 40, 80, 150):
+        for share in (0, 0.05, 0.1, 0.2):
+            for _ in range(30):
+                w = rng.choices(voc, k=words)
+                x = " ".join(w)
+                if share:
+                    for i in rng.sample(range(words), max(1, int(words * share))):
+                        w[i] = rng.choice(voc)
+                    y = " ".join(w)
+                else:
+                    i = rng.choice([i for i, c in enumerate(x) if c != " "])
+                    y = x[:i] + "q" + x[i + 1 :]
+                if x != y and alike(x, y):
+                    wanted.append((words, share, len(lines), len(lines) + 1))
+                    lines += [x, y]
+    out = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    gone = {r.doc_id for r in out.collect() if r.n_removed}
+    assert gone <= {b for *_, b in wanted}  # unlike lines stay
+    found = lambda test: np.mean([b in gone for words, share, _, b in wanted if test(words, share)])
+    assert found(lambda w, s: True) >= 0.95
+    assert all(found(lambda w, s: w == words) >= 0.9 for words in (5, 8, 12, 20, 40, 80, 150))
+    assert found(lambda w, s: s == 0) >= 0.95 and found(lambda w, s: s == 0.1) >= 0.95
+    assert found(lambda w, s: s == 0.2) >= 0.75  # at the very edge of similarity
+
+
+def test_line_dedup_wide_buckets(spark, monkeypatch):
+    """Buckets that are told apart beforehand give the same result; a group of many variants is one."""
+    rng = random.Random(4)
+    base = rng.choices(WORDS, k=40)
+    texts = []
+    for i in range(120):
+        own = list(base)
+        own[rng.randrange(40)] = rng.choice(WORDS)
+        texts.append(" ".join(own))
+    texts += [" ".join(rng.choices(WORDS, k=12) + base[:14]) for _ in range(60)]  # a passage they share, no more
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = python_line_dedup(list(enumerate(texts)))
+    monkeypatch.setattr(line_dedup, "SAMPLED", 1)
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()} == want
+    monkeypatch.setattr(line_dedup, "SAMPLED", 1 << 40)
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()} == want
+
+
+def test_line_dedup_long_lines(spark):
+    """Lines far beyond any window, with a passage put in early, are found; so are lines without a blank."""
+    rng = random.Random(6)
+    long = rng.choices(WORDS, k=4000)
+    more = long[:3] + rng.choices(WORDS, k=50) + long[3:]
+    solid = "".join(rng.choices("abcdef0123456789", k=6000))
+    texts = [" ".join(long), " ".join(more), solid, "x" + solid[:3000] + solid[3010:], " ".join(rng.choices(WORDS, k=4000))]
+    out = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {0: 0, 1: 1, 2: 0, 3: 1, 4: 0}
+
+
+def test_line_dedup_leaves_no_tables(spark):
+    """After a call only what its result reads is left of the intermediate tables."""
+    import gc
+
+    from strataloom import store
+
+    before = set(store._made)
+    df = spark.createDataFrame([(i, f"a b c d e f g h {i % 3}") for i in range(30)], "doc_id long, text string")
+    out = line_dedup.dedup_lines(df)
+    assert out.filter("n_removed > 0").count() == 29
+    gc.collect()
+    assert len(set(store._made) - before) <= 1
+
+
 def test_line_dedup_without_punctuation(spark):
     """The registered query's lines are equal if they differ in ASCII punctuation only; lines of nothing else stay."""
     docs = [(1, "Hello, world.\n---"), (2, "hello world\n---"), (3, "(Hello) -- 'world'!\n* * *"), (4, "a_b c\n***"), (5, "A B C"), (6, "hello w\u00f6rld\n\u2014")]
