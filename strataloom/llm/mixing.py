@@ -1,18 +1,21 @@
 """Mixing sources to target weights by entropy balancing.
 
 Documents get rates r between 0 and ``cap`` that meet a token target for every
-source and otherwise stay as near to 1 as can be: they minimise the token-weighted
-entropy  sum size (r ln r + (cap - r) ln(cap - r))  subject to  sum size r = target.
-The solution is the exponential tilt  r = cap e^l / (1 + e^l)  with one multiplier l
-a source, found by Newton's method on the convex dual
-sum size cap ln(1 + e^l) - l target. Its gradient and curvature need the
-documents only through their token totals, which partitions sum once; the
-iterations then run in parallel, a row a source.
+source and otherwise stay as near to even as can be: they minimise the entropy of documents
+sum r ln r + (cap - r) ln(cap - r)  subject to  sum size r = target  for each source.
+The solution is an exponential tilt of every document by its size,
+r = cap / (1 + exp(-l size / mean size))  with one multiplier l a source: a source that has to shrink
+gives up its long documents first, one that has to grow takes them first. No closed form gives l; it is
+the root of the convex dual's gradient, found by Newton's method. A round sums gradient and curvature of all
+sources over the documents' sizes (partial sums in each task, exact integers, so that reruns
+agree to the bit) and moves every multiplier; a bracket around each root takes a step that leaves it
+to its middle. Documents count by (source, size), which is all that a rate depends on. It goes on until every
+source is within ``TOLERANCE`` of its target, or its bracket within the precision of numbers.
 
 Rates become copies by systematic rounding: with documents of a source in the
-order of size, md5 of the id, id, the k-th gets floor(r k + u) - floor(r (k - 1) + u)
-copies. Neighbours in that order have nearly equal sizes, so a source's tokens miss its
-target by about one document. Ranks come from a range partitioning and a prefix
+order of size, md5 of the id, id, and R the sum of rates up to a document, it gets
+floor(R + u) - floor(R - r + u) copies. Neighbours in that order have nearly equal sizes, so a source's tokens miss its
+target by about one document. Sums come from a range partitioning and a prefix
 sum over partitions: no task holds a whole source.
 
 Defined cases: a null text has no tokens; a null source is a source, ordered last;
@@ -28,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import drop, materialize, scope
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Where in the unit interval rounding starts.
-START = 0.381966
+#: Where in the unit interval rounding starts; the unit of rates (2^-24: sums of 10^11 rates fit a long).
+START, UNIT = 0.381966, 1 << 24
+#: Part of a target that may be missed before rounding; sources up to which their table is sent to all tasks.
+TOLERANCE, FEW = 1e-7, 65_536
 
 
 def token_sizes(docs: DataFrame) -> DataFrame:
@@ -58,72 +63,95 @@ def source_targets(sizes: DataFrame, weights: list[float], total_share: float, c
     return t.withColumn("level", level).select("source", "source_size", F.least("full", F.coalesce(F.col("w") * F.col("level"), F.col("full"))).alias("target"))
 
 
-def tilted_rate(size: Column, target: Column, cap: float, iterations: int = 60) -> Column:
-    """Newton's method on the dual; steps are held to 2, so that it converges from 0 whatever the target."""
-    p = target / (size * F.lit(cap))
-
-    def step(x: Column, _: Column) -> Column:
-        s = F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
-        return x + F.greatest(F.lit(-2.0), F.least(F.lit(2.0), (p - s) / (s * (F.lit(1.0) - s))))
-
-    solved = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), F.lit(0.0), step)
-    return F.when((size <= 0) | (target <= 0), F.lit(0.0)).when(p >= 1, F.lit(float(cap))).otherwise(F.lit(float(cap)) / (F.lit(1.0) + F.exp(-solved)))
-
-
-def ranked(sizes: DataFrame) -> DataFrame:
-    """``sizes`` with ``part`` and ``pos``, the row's number among its source's rows in its range partition."""
+def tilted_rate(size: Column, mean: Column, l: Column, cap: float) -> Column:
+    """A document's rate under its source's multiplier; sources at their bounds have infinite ones."""
+    z = F.least(F.lit(700.0), F.greatest(F.lit(-700.0), -l * size / mean))
+    inside = F.lit(float(cap)) / (F.lit(1.0) + F.exp(z))
+    return F.when(l == float("inf"), F.lit(float(cap))).when(l == float("-inf"), F.lit(0.0)).otherwise(inside)
+
+
+def multipliers(sizes: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
+    """(source, source_size, target, mean, l), written: the dual's solution, a row a source.
+
+    Sums are of integers: rates in units of 2^-24 times sizes, as decimals."""
+    spark = sizes.sparkSession
+    with scope(spark) as results:
+        counts = materialize(sizes.filter("size > 0").groupBy("source", "size").agg(F.count("*").alias("n")), "sizes")
+        means = counts.groupBy(F.col("source").alias("s")).agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"))
+        t = targets.join(means, targets["source"].eqNullSafe(means["s"]), "left").drop("s").withColumn("mean", F.coalesce("mean", F.lit(1.0)))
+        fixed = F.when((F.col("source_size") <= 0) | (F.col("target") <= 0), float("-inf")).when(F.col("target") >= F.lit(cap) * F.col("source_size"), float("inf"))
+        t = t.withColumn("l", F.coalesce(fixed, F.lit(0.0))).withColumn("lo", F.lit(float("-inf"))).withColumn("hi", F.lit(float("inf"))).withColumn("done", fixed.isNotNull())
+        t = materialize(t, "multipliers")
+        while not t.filter("not done").isEmpty():
+            open_ = t.filter("not done").select(F.col("source").alias("s"), F.col("mean").alias("m"), F.col("l").alias("x"))
+            rows = counts.join(open_, counts["source"].eqNullSafe(open_["s"]))
+            r = tilted_rate(F.col("size"), F.col("m"), F.col("x"), cap)
+            exact = lambda c: F.sum(c.cast("decimal(20,0)") * F.col("n") * F.col("size"))
+            part = r * (F.lit(1.0) - r / cap) * F.col("size") / F.col("m")
+            sums = rows.groupBy("s").agg(exact(F.round(r * UNIT)).alias("got"), exact(F.round(part * UNIT)).alias("bend"))
+            new = t.join(sums, t["source"].eqNullSafe(sums["s"]), "left").drop("s")
+            off = F.col("got").cast("double") / UNIT - F.col("target")
+            new = new.withColumn("off", off).withColumn("slope", F.col("bend").cast("double") / UNIT)
+            new = new.withColumn("lo", F.when(~F.col("done") & (F.col("off") < 0), F.col("l")).otherwise(F.col("lo"))).withColumn("hi", F.when(~F.col("done") & (F.col("off") > 0), F.col("l")).otherwise(F.col("hi")))
+            step = F.col("l") - F.col("off") / F.col("slope")
+            # inside the bracket Newton's step, else its middle, or outward where it is still open
+            middle = F.when(F.col("lo") == float("-inf"), F.least(F.col("l") * 2, F.col("l") - 1)).when(F.col("hi") == float("inf"), F.greatest(F.col("l") * 2, F.col("l") + 1)).otherwise((F.col("lo") + F.col("hi")) / 2)
+            bounded = (F.col("slope") > 0) & (step > F.col("lo")) & (step < F.col("hi")) & (F.abs(step - F.col("l")) <= 1 + F.abs("l"))
+            done = F.col("done") | (F.abs("off") <= F.lit(TOLERANCE) * F.col("target")) | (F.col("hi") - F.col("lo") <= F.abs("l") * 1e-14)
+            new = new.withColumn("now", done).withColumn("l", F.when(F.col("now"), F.col("l")).when(bounded, step).otherwise(middle))
+            old, t = t, materialize(new.select("source", "source_size", "target", "mean", "l", "lo", "hi", F.col("now").alias("done")), "multipliers")
+            drop(old)
+        results.append(t)
+    return t.select("source", "source_size", "target", "mean", "l")
+
+
+def _with_source(rows: DataFrame, per_source: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their source's row. Up to ``FEW`` sources are sent to all tasks; more are joined with
+    rows spread over 16 parts each, so that a large source is no single task's."""
+    named = per_source.withColumnRenamed("source", "_s")
+    same = rows["source"].eqNullSafe(named["_s"])
+    if per_source.limit(FEW + 1).count() <= FEW:
+        return rows.join(F.broadcast(named), same).drop("_s")
+    named = named.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    salted = rows.withColumn("_own", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(16)).cast("int"))
+    return salted.join(named, salted["source"].eqNullSafe(named["_s"]) & (salted["_own"] == named["_salt"])).drop("_s", "_salt", "_own")
+
+
+def summed(rated: DataFrame) -> DataFrame:
+    """``rated`` (with ``units``, a rate in integers) with ``part`` and ``sum``, the units of its source up to the row in its range partition."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, source, pos = TaskContext.get().partitionId(), (), 0
+        part, source, total = TaskContext.get().partitionId(), (), 0
         for batch in batches:
             at = []
-            for s in batch["source"].to_pylist():
-                pos = pos + 1 if (s,) == source else 1
+            for s, u in zip(batch["source"].to_pylist(), batch["units"].to_pylist()):
+                total = total + u if (s,) == source else u
                 source = (s,)
-                at.append(pos)
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array([part] * len(batch), pa.int32()), pa.array(at, pa.int64())], [*kept, "part", "pos"])
+                at.append(total)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * len(batch), pa.int32()), pa.array(at, pa.int64())], [*batch.schema.names, "part", "sum"])
 
-    kept = ["doc_id", "source", "size", "text_hash"]
     order = ["source", "size", F.md5(F.col("doc_id").cast("string")), "doc_id", "text_hash"]
-    return sizes.select(*kept).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(number, "doc_id long, source string, size long, text_hash long, part int, pos long")
+    schema = ", ".join(f"{n} {t}" for n, t in rated.dtypes) + ", part int, sum bigint"
+    return rated.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(number, schema)
 
 
 def mix(docs: DataFrame, weights: list[float], total_share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """doc_id, text_hash, source, size, source_size, target, rate, copies, taken for every document."""
-    rows = materialize(ranked(token_sizes(docs)), "ranks")
-    targets = source_targets(rows, weights, total_share, cap)
-    rates = targets.withColumn("rate", tilted_rate(F.col("source_size"), F.col("target"), cap))
-    offsets = rows.groupBy("source", "part").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = offsets.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    plan = offsets.join(rates, offsets["source"].eqNullSafe(rates["source"])).select(offsets["source"].alias("s"), offsets["part"].alias("p"), "before", "source_size", "target", "rate")
-    out = rows.join(plan, (rows["part"] == plan["p"]) & rows["source"].eqNullSafe(plan["s"]))
-    rank, r = F.col("before") + F.col("pos"), F.col("rate")
-    copies = (F.floor(r * rank + START) - F.floor(r * (rank - 1) + START)).cast("long")
+    with scope(docs.sparkSession) as results:
+        sizes = materialize(token_sizes(docs), "sizes")
+        solved = multipliers(sizes, source_targets(sizes, weights, total_share, cap), cap)
+        rated = _with_source(sizes, solved).withColumn("rate", tilted_rate(F.col("size"), F.col("mean"), F.col("l"), cap))
+        rows = materialize(summed(rated.withColumn("units", F.round(F.col("rate") * UNIT).cast("long")).drop("mean", "l")), "rates")
+        parts = rows.groupBy("source", "part").agg(F.sum("units").alias("n"))
+        earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        # a row for each part of a source: parts and sources, not documents
+        before = parts.select(F.col("source").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+        results.append(before := materialize(before, "before"))
+        results.append(rows)
+    out = rows.join(before, (rows["part"] == before["p"]) & rows["source"].eqNullSafe(before["s"]))
+    upto, start = F.col("before") + F.col("sum"), round(START * UNIT)
+    whole = lambda c: F.shiftright(c + start, 24)
+    copies = whole(upto) - whole(upto - F.col("units"))
     return out.select("doc_id", "text_hash", "source", "size", "source_size", "target", "rate", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
-
-
-ORACLE = """
-WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
-), per_source AS (
-  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
-), weighted AS (
-  SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w, 2.0::DOUBLE * source_size AS fullest FROM per_source
-), levels AS (
-  SELECT *, fullest / w AS q,
-    (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(fullest) OVER (ORDER BY fullest / w, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-    / sum(w) OVER (ORDER BY fullest / w, encode(source) NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
-  FROM weighted
-), targets AS (
-  SELECT source, source_size, least(fullest, coalesce(w * (SELECT arg_min(level, q) FROM levels WHERE level <= q), fullest)) AS target FROM levels
-), ranks AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, md5(doc_id::VARCHAR), doc_id) AS k FROM sized
-)
-SELECT doc_id, size, source_size, target,
-  ((floor(r * k + 0.381966::DOUBLE) - floor(r * (k - 1) + 0.381966::DOUBLE)) * size)::BIGINT AS taken
-FROM (SELECT ranks.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS r
-      FROM ranks JOIN targets ON ranks.source IS NOT DISTINCT FROM targets.source)
-"""

@@ -84,4 +84,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": mixing.ORACLE, "op6_chat": chat.ORACLE}
+    return {"op6_chat": chat.ORACLE}

@@ -53,10 +53,38 @@ def test_mixing(spark):
     assert mixing.mix(df.limit(0), [3, 1, 2]).count() == 0
 
 
-def test_newton(spark):
-    df = spark.createDataFrame([(100, t) for t in (0.0, 1e-6, 1.0, 30.0, 100.0, 150.0, 199.9, 200.0)], "s long, t double")
-    got = df.select("t", mixing.tilted_rate(F.col("s"), F.col("t"), 2.0).alias("r")).collect()
-    assert all(abs(x.r * 100 - x.t) <= 1e-9 * max(1, x.t) for x in got)
+def test_multipliers_equal_a_dense_solution(spark):
+    """Rates of documents against Newton's method on the whole problem in numpy; no constant ratio a source gives them."""
+    rng = random.Random(8)
+    sizes = {s: [rng.choice([1, 3, 10, 60, 700]) for _ in range(400)] for s in ("a", "b", "c")}
+    aims = {"a": 0.3, "b": 1.7, "c": 1.0}
+    rows = [(i, s, n, i) for s, ns in sizes.items() for i, n in enumerate(ns)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, text_hash long").repartition(5)
+    targets = spark.createDataFrame([(s, sum(sizes[s]), aims[s] * sum(sizes[s])) for s in sizes], "source string, source_size long, target double")
+    solved = {r.source: r for r in mixing.multipliers(df, targets, 2.0).collect()}
+    for s, ns in sizes.items():
+        n, t, x = np.array(ns, float), aims[s] * sum(ns), 0.0
+        z = n / n.mean()
+        for _ in range(200):
+            r = 2 / (1 + np.exp(-x * z))
+            step = ((r * n).sum() - t) / (r * (1 - r / 2) * n * z).sum()
+            x -= max(-0.5, min(0.5, step))
+        assert abs(solved[s].l - x) <= 1e-5 * max(1, abs(x))
+        r = 2 / (1 + np.exp(-x * z))
+        assert abs((r * n).sum() - t) <= 1e-6 * t
+    assert solved["a"].l < -0.1 and solved["b"].l > 0.1 and abs(solved["c"].l) < 1e-6
+    got = mixing.mix(spark.createDataFrame([(i, "w " * n, s) for i, s, n, _ in rows], "doc_id long, text string, source string"), [3, 1, 2])
+    spread = {(r.source, r.size): r.rate for r in got.collect()}
+    assert len({round(v, 6) for (s, n), v in spread.items() if s == "b"}) > 1 and all(0 <= v <= 2 for v in spread.values())
+
+
+def test_many_sources_are_joined_in_parts(spark, monkeypatch):
+    rows = [(i, "w " * (1 + i % 9), f"s{i % 23:02d}") for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    key = lambda r: (r.doc_id, r.source, r.taken)
+    few = sorted(map(key, mixing.mix(df, [3, 1, 2]).collect()))
+    monkeypatch.setattr(mixing, "FEW", 3)
+    assert sorted(map(key, mixing.mix(df, [3, 1, 2]).collect())) == few
 
 
 def test_quality_on_held_out(spark, sf):
