@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .graph import connected_components
 from .prefilter import keep_by_bitmap
-from .store import materialize
+from .store import drop, materialize, scope
 
 #: Documents in a column from which it is not multiplied out.
 LONG = 32
@@ -344,91 +344,99 @@ def _across(own: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFram
 
 def _verify(pairs: DataFrame, rows: DataFrame, ids: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The links (a, b) among ``pairs``, on whole sets. ``ids``: (node, key), a document for each node."""
-    pairs = materialize(pairs, "pairs")
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(ids, "node"), "wanted")
-    found = materialize(_fetch(wanted, rows, n, np.ndarray.tobytes, "node long, s binary"), "sets")
+    with scope(pairs.sparkSession) as results:
+        pairs = materialize(pairs, "pairs")
+        wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(ids, "node"), "wanted")
+        found = materialize(_fetch(wanted, rows, n, np.ndarray.tobytes, "node long, s binary"), "sets")
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def each():
-            for a, b, x, y in _texts(batches, "a", "b", "x", "y"):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if den * common >= num * (len(x) + len(y) - common):
-                    yield a, b
+        def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def each():
+                for a, b, x, y in _texts(batches, "a", "b", "x", "y"):
+                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    if den * common >= num * (len(x) + len(y) - common):
+                        yield a, b
 
-        yield from _table(each(), ["a", "b"], [pa.int64(), pa.int64()])
+            yield from _table(each(), ["a", "b"], [pa.int64(), pa.int64()])
 
-    both = pairs.join(found.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(found.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+        both = pairs.join(found.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(found.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
+        results.append(out := materialize(both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "links"))
+    return out
 
 
 def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOW)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    first = materialize(_sets(rows, n), "sets")
-    members = first.filter("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("node"), "size")
-    hot = first.filter("kind = 1").groupBy(F.col("a").alias("h")).agg(F.sum("b").alias("c")).filter("c > 3").orderBy(F.desc("c"), "h").limit(HOT).toArrow()
-    value, count = (hot[c].to_numpy()[::-1].astype(np.int64) for c in ("h", "c"))  # the most frequent come last
-    value = value.view(np.uint64)
-    total = members.agg(F.sum("size")).first()[0] or 0
-    blocks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total * (den - num + 4) // den // BLOCK))
-    product = materialize(_multiply(_incidence(rows, n, num, den, value, count, blocks), blocks, num, den, value[count >= SPLIT]), "product")
-
-    k = F.lit(1) + F.floor(F.least("na", "nb") / 25)
-    shares = materialize(product.filter("kind = 2").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("s")), "shares")
-    prefix_k = lambda x: F.lit(1) + F.floor(x / 25)
-
-    def reach(s: Column, own: Column, other: Column) -> Column:
-        """Whether a document's columns shared with anyone allow for the overlap with one of the other size."""
-        overlap = F.ceil((own + other) * num / (num + den) - 1e-9)
-        outside = lambda x: F.ceil(x * num / den - 1e-9) - prefix_k(x)
-        return s >= overlap - F.greatest(outside(own), outside(other))
-
-    short = product.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= k)
-    for x, y in (("a", "b"), ("b", "a")):
-        short = short.join(shares.select(F.col("node").alias(x), F.col("s").alias(f"s{x}")), x).filter(reach(F.col(f"s{x}"), F.col(f"n{x}"), F.col(f"n{y}")))
-    short = short.select("a", "b")
-    ids = members.filter("size > 0").groupBy("node").agg(F.min("key").alias("key"))
-    verified = lambda pairs: _verify(pairs, rows, ids, n, num, den)
-    links = materialize(verified(short), "links")
-    classes = materialize(connected_components(links), "classes")
-
-    entries = product.filter("kind = 1").select(F.col("a").alias("h"), F.col("b").alias("node"), F.col("nb").alias("size")).distinct()
-    # the document found in most long columns is likely the one that others are copies of
-    degree = entries.groupBy("node").agg(F.count("*").alias("degree"))
-    open_ = materialize(entries.join(degree, "node").join(shares, "node"), "entries")
-
-
-    def fits(p: str, q: str) -> Column:
-        m, n = F.col(f"{p}.size"), F.col(f"{q}.size")
-        return (F.least(m, n) * den >= F.greatest(m, n) * num) & reach(F.col(f"{p}.s"), m, n) & reach(F.col(f"{q}.s"), n, m)
-
-    for attempt in range(STARS + 1):
-        if open_.isEmpty():
-            break
-        own = open_.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = own.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("h")
-        own = materialize(own.join(mixed, "h"), "open")
-        if own.isEmpty():
-            break
-        x = own.alias("x")
-        if attempt == STARS:
-            wanted = materialize(own.select("node").distinct().join(ids, "node"), "wanted")
-            pairs = _across(own, _fetch(wanted, rows, n, sketch, "node long, sketch binary"), num, den)
-        else:  # each column's next document, against those not in its class
-            tried = materialize(own.groupBy("h").agg(F.max_by(F.struct("node", "size", "component", "s"), F.struct("degree", "node")).alias("y")), "tried")
-            y = tried.select("h", F.col("y.node").alias("node"), F.col("y.size").alias("size"), F.col("y.component").alias("component"), F.col("y.s").alias("s")).alias("y")
-            across = (F.col("x.h") == F.col("y.h")) & (F.col("x.component") != F.col("y.component")) & fits("x", "y")
-            pairs = x.join(y, across).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        links = materialize(links.unionByName(verified(pairs)), "links")
-        classes = materialize(connected_components(links), "classes")
-        if attempt < STARS:
-            led = tried.select("h", F.col("y.node").alias("node"), F.lit(-attempt - 1).cast("long").alias("used"))
-            open_ = own.drop("component").join(led, ["h", "node"], "left").withColumn("degree", F.coalesce("used", "degree")).drop("used")
-            open_ = materialize(open_, "entries")
-
-    named = members.join(classes, "node", "left").withColumn("component", F.when(F.col("size") > 0, F.coalesce("component", "node")))
-    least = named.filter("size > 0").groupBy("component").agg(F.min("key").alias("least"))
-    out = named.join(least, "component", "left")
-    real = lambda c: F.nullif(F.col(c), F.lit(_LOW))
-    return out.select(real("key").alias("doc_id"), F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, real("least")).otherwise(real("key")).alias("component_id"))
+    with scope(docs.sparkSession) as results:
+        rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOW)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+        first = materialize(_sets(rows, n), "sets")
+        members = first.filter("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("node"), "size")
+        hot = first.filter("kind = 1").groupBy(F.col("a").alias("h")).agg(F.sum("b").alias("c")).filter("c > 3").orderBy(F.desc("c"), "h").limit(HOT).toArrow()
+        value, count = (hot[c].to_numpy()[::-1].astype(np.int64) for c in ("h", "c"))  # the most frequent come last
+        value = value.view(np.uint64)
+        total = members.agg(F.sum("size")).first()[0] or 0
+        blocks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total * (den - num + 4) // den // BLOCK))
+        product = materialize(_multiply(_incidence(rows, n, num, den, value, count, blocks), blocks, num, den, value[count >= SPLIT]), "product")
+
+        k = F.lit(1) + F.floor(F.least("na", "nb") / 25)
+        shares = materialize(product.filter("kind = 2").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("s")), "shares")
+        prefix_k = lambda x: F.lit(1) + F.floor(x / 25)
+
+        def reach(s: Column, own: Column, other: Column) -> Column:
+            """Whether a document's columns shared with anyone allow for the overlap with one of the other size."""
+            overlap = F.ceil((own + other) * num / (num + den) - 1e-9)
+            outside = lambda x: F.ceil(x * num / den - 1e-9) - prefix_k(x)
+            return s >= overlap - F.greatest(outside(own), outside(other))
+
+        short = product.filter("kind = 0").groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).filter(F.col("shared") >= k)
+        for x, y in (("a", "b"), ("b", "a")):
+            short = short.join(shares.select(F.col("node").alias(x), F.col("s").alias(f"s{x}")), x).filter(reach(F.col(f"s{x}"), F.col(f"n{x}"), F.col(f"n{y}")))
+        short = short.select("a", "b")
+        ids = members.filter("size > 0").groupBy("node").agg(F.min("key").alias("key"))
+        verified = lambda pairs: _verify(pairs, rows, ids, n, num, den)
+        links = verified(short)
+        classes = connected_components(links)
+
+        entries = product.filter("kind = 1").select(F.col("a").alias("h"), F.col("b").alias("node"), F.col("nb").alias("size")).distinct()
+        # the document found in most long columns is likely the one that others are copies of
+        degree = entries.groupBy("node").agg(F.count("*").alias("degree"))
+        open_ = materialize(entries.join(degree, "node").join(shares, "node"), "entries")
+
+
+        def fits(p: str, q: str) -> Column:
+            m, n = F.col(f"{p}.size"), F.col(f"{q}.size")
+            return (F.least(m, n) * den >= F.greatest(m, n) * num) & reach(F.col(f"{p}.s"), m, n) & reach(F.col(f"{q}.s"), n, m)
+
+        for attempt in range(STARS + 1):
+            before = open_
+            if open_.isEmpty():
+                break
+            own = open_.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            mixed = own.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("h")
+            own = materialize(own.join(mixed, "h"), "open")
+            if own.isEmpty():
+                break
+            x = own.alias("x")
+            if attempt == STARS:
+                wanted = materialize(own.select("node").distinct().join(ids, "node"), "wanted")
+                pairs = _across(own, _fetch(wanted, rows, n, sketch, "node long, sketch binary"), num, den)
+            else:  # each column's next document, against those not in its class
+                tried = materialize(own.groupBy("h").agg(F.max_by(F.struct("node", "size", "component", "s"), F.struct("degree", "node")).alias("y")), "tried")
+                y = tried.select("h", F.col("y.node").alias("node"), F.col("y.size").alias("size"), F.col("y.component").alias("component"), F.col("y.s").alias("s")).alias("y")
+                across = (F.col("x.h") == F.col("y.h")) & (F.col("x.component") != F.col("y.component")) & fits("x", "y")
+                pairs = x.join(y, across).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+            more = verified(pairs)
+            grown = materialize(links.unionByName(more), "links")
+            drop(links, more, classes)
+            links, classes = grown, connected_components(grown)
+            if attempt < STARS:
+                led = tried.select("h", F.col("y.node").alias("node"), F.lit(-attempt - 1).cast("long").alias("used"))
+                open_ = own.drop("component").join(led, ["h", "node"], "left").withColumn("degree", F.coalesce("used", "degree")).drop("used")
+                last, open_ = before, materialize(open_, "entries")
+                drop(last, own, tried)
+
+        named = members.join(classes, "node", "left").withColumn("component", F.when(F.col("size") > 0, F.coalesce("component", "node")))
+        least = named.filter("size > 0").groupBy("component").agg(F.min("key").alias("least"))
+        out = named.join(least, "component", "left")
+        real = lambda c: F.nullif(F.col(c), F.lit(_LOW))
+        results.append(out := out.select(real("key").alias("doc_id"), F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, real("least")).otherwise(real("key")).alias("component_id")))
+    return out

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import materialize
+from .store import materialize, scope
 
 THRESHOLD = 0.7
 #: Byte classes: 0 lower, 1 upper, 2 digit, 3 blank, 4 newline, 5 sentence marks, 6 other marks, 7 beyond ASCII.
@@ -123,11 +123,17 @@ def remainder(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, n_fourier: int = 256, ridge: float = 1e-4, seed: int = 7, partitions: int = 16) -> Model:
     """Fit on labelled documents whose remainder is not 2: the regression on
     remainders 0 and 1, the calibration on 3 (on all, where that has none)."""
+    with scope(docs.sparkSession):  # the table of features goes at the end
+        return _fit(docs, labels, max_train, n_fourier, ridge, seed, partitions)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, max_train: int, n_fourier: int, ridge: float, seed: int, partitions: int) -> Model:
     own = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (remainder(F.col("doc_id")) != 2))
     own = own.groupBy("doc_id").agg(F.avg("quality").alias("y"))
     own = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train).withColumn("fold", remainder(F.col("doc_id")))
-    # broadcast: max_train rows of three numbers at most
+    # broadcast: max_train rows of three numbers at most; of repeated documents the one of the least hash counts, so that no more come out
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(own.withColumnRenamed("doc_id", "label_id")), F.col("doc_id") == F.col("label_id"))
+    rows = rows.groupBy("label_id").agg(F.min_by(F.struct("text", "y", "fold"), F.struct(F.xxhash64("text"), "text")).alias("row")).select("row.*")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
