@@ -45,10 +45,10 @@ from .graph import connected_components
 from .prefilter import keep_by_bitmap
 from .store import drop, materialize, scope
 
-#: Documents in a column from which it is not multiplied out.
-LONG = 32
+#: Documents in a column from which it is not multiplied out; products that a task adds up at a time.
+LONG, ADDED = 32, 1_000_000
 #: Postings in a block of columns; shingles a task counts at a time; frequent n-grams that are told to all tasks (8 bytes each and 4 for the rank).
-BLOCK, COUNTED, HOT = 1_000_000, 2_000_000, 1 << 17
+BLOCK, COUNTED, HOT = 500_000, 1_000_000, 1 << 17
 #: Documents of a long column that are tried against all others before pairs of different classes are.
 STARS = 3
 #: Buckets of a sketch (a power of two); documents of a long column that a task holds twice.
@@ -72,7 +72,7 @@ class _Words(dict):
         import xxhash
 
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 400_000:
+        if len(self) < 200_000:
             self[word] = h
         return h
 
@@ -114,8 +114,8 @@ def first_common(size):
 
 def _texts(batches: Iterator[pa.RecordBatch], *names: str):
     for batch in batches:
-        for k in range(0, len(batch), 512):
-            some = batch.slice(k, 512)
+        for k in range(0, len(batch), 128):
+            some = batch.slice(k, 128)
             yield from zip(*(some[x].to_pylist() for x in names))
 
 
@@ -258,29 +258,35 @@ def _multiply(incidence: DataFrame, blocks: int, num: int, den: int, wide: np.nd
             z = np.zeros(len(i), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(z.astype(np.int32) + 1), pa.array(h[i].view(np.int64)), pa.array(node[i]), pa.array(z), pa.array(size[i]), pa.array(z)], names)
         h, node, size = h[~far], node[~far], size[~far]
-        a, b, na, nb = [], [], [], []
+        held, products = [], 0
+
+        def added():
+            """Sums of what is held; those of one pair may come in several rows."""
+            a, b, na, nb = (np.concatenate(x) for x in zip(*held))
+            swap = a > b
+            a[swap], b[swap], na[swap], nb[swap] = b[swap], a[swap], nb[swap], na[swap]
+            order = np.lexsort((b, a))
+            a, b, na, nb = a[order], b[order], na[order], nb[order]
+            new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+            shared = np.diff(np.append(new, len(a)))
+            for k in range(0, len(new), 65536):
+                i, c = new[k : k + 65536], shared[k : k + 65536]
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(i), np.int32)), *(pa.array(x) for x in (a[i], b[i], na[i], nb[i], c))], names)
+
         for d in range(1, LONG):
             if len(h) <= d:
                 break
             i = np.flatnonzero((h[d:] == h[:-d]) & (den * size[:-d] >= num * size[d:]))  # sizes rise within a column
-            if not len(i) and not (h[d:] == h[:-d]).any():
+            if len(i):
+                held.append((node[i], node[i + d], size[i], size[i + d]))
+                products += len(i)
+            elif not (h[d:] == h[:-d]).any():
                 break
-            a.append(node[i])
-            b.append(node[i + d])
-            na.append(size[i])
-            nb.append(size[i + d])
-        if not a:
-            return
-        a, b, na, nb = (np.concatenate(x) for x in (a, b, na, nb))
-        swap = a > b
-        a[swap], b[swap], na[swap], nb[swap] = b[swap], a[swap], nb[swap], na[swap]
-        order = np.lexsort((b, a))
-        a, b, na, nb = a[order], b[order], na[order], nb[order]
-        new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
-        shared = np.diff(np.append(new, len(a)))
-        for k in range(0, len(new), 65536):
-            i, c = new[k : k + 65536], shared[k : k + 65536]
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(i), np.int32)), *(pa.array(x) for x in (a[i], b[i], na[i], nb[i], c))], names)
+            if products > ADDED:
+                yield from added()
+                held, products = [], 0
+        if held:
+            yield from added()
 
     dealt = incidence.repartitionById(blocks, F.col("block"))
     return dealt.mapInArrow(run, "kind int, a long, b long, na long, nb long, shared long")
