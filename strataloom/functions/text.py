@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from . import fixed
 
+#: All white space of Unicode, as (?U)\\s has it.
+_BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _LETTER = r"a-zA-Z\u00C0-\u1EF9"
 #: Combining marks, Hangul jamo, and characters whose composed form is another one.
 _MAY_CHANGE = r"[\p{M}\u0340-\u0344\u0374\u037E\u0387\u0958-\u095F\u09DC-\u09DF\u0A33-\u0A5E\u0B5C\u0B5D\u0F43-\u0FB9\u1100-\u11FF\u1F71-\u1FFD\u2000\u2001\u2126\u212A\u212B\u2329\u232A\u2ADC\uF900-\uFAFF\uFB1D-\uFB4E\x{1D15E}-\x{1D1C0}\x{2F800}-\x{2FA1D}]"
@@ -20,7 +22,7 @@ _MAY_CHANGE = r"[\p{M}\u0340-\u0344\u0374\u037E\u0387\u0958-\u095F\u09DC-\u09DF\
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def words(c: Column) -> Column:
@@ -74,14 +76,17 @@ def strip_boilerplate(c: Column, patterns: tuple[str, ...] = fixed.BOILERPLATE)
     """Noise cut out of lines; lines that hold boilerplate or were nothing but
     noise dropped, blank lines kept; at most one blank line in a row."""
     any_of = "(?iU)" + "|".join(f"(?:{p})" for p in patterns)
+    noisy = "|".join(f"(?{'U' if cased else 'iU'}:{pattern})" for pattern, cased in fixed.INLINE_NOISE)
+    collapse = lambda x: F.regexp_replace(x, r"(?U)\s{2,}", " ")
 
     def clean(line: Column) -> Column:
         x = line
         for pattern, cased in fixed.INLINE_NOISE:
             x = F.regexp_replace(x, ("(?U)" if cased else "(?iU)") + pattern, "")
-        return strip(F.regexp_replace(x, r"(?U)\s{2,}", " "))
+        return F.nullif(strip(collapse(x)), F.lit(""))
 
-    lines = F.transform(F.split(c, "\n", -1), lambda line: F.when(strip(line) == "", "").otherwise(F.nullif(clean(strip(line)), F.lit(""))))
+    # one test tells the lines that need the replacements
+    lines = F.transform(F.transform(F.split(c, "\n", -1), strip), lambda x: F.when(x.rlike(noisy), clean(x)).otherwise(collapse(x)))
     kept = F.filter(lines, lambda x: x.isNotNull() & ~x.rlike(any_of))
     return strip(F.regexp_replace(F.array_join(kept, "\n"), r"\n{3,}", "\n\n"))
 

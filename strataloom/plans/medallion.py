@@ -32,6 +32,13 @@ class Config:
     core: list[str] = field(default_factory=lambda: fixed.CORE_CATEGORIES)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out to all cores where it comes in few splits: cleaning is bound by
+    the processor. Inputs with as many splits as cores stay as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cleaned(bronze: DataFrame, config: Config = Config(), written: bool = True) -> DataFrame:
     """``bronze`` with markdown, ratio, quality_score and low_quality.
 
@@ -39,6 +46,7 @@ def cleaned(bronze: DataFrame, config: Config = Config(), written: bool = True)
     pushed below it and compute it several times over. ``written=False`` leaves that out, for streams.
     """
     raw = F.coalesce("raw_content", F.lit(""))
+    bronze = spread(bronze) if written else bronze
     # a column a step: each is used more than once by the next, and so is computed once
     d = bronze.withColumn("markdown", text.strip_boilerplate(raw))
     if config.compose:
