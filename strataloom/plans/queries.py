@@ -89,7 +89,7 @@ def nfc_normalize(spark, sf_dir):
 
 @_query
 def quality(spark, sf_dir):
-    d = bronze(spark, sf_dir).withColumn("r", text.diacritic_ratio(F.col("raw_content")))
+    d = medallion.spread(bronze(spark, sf_dir)).withColumn("r", text.diacritic_ratio(F.col("raw_content")))
     t, r = F.col("raw_content"), F.col("r")
     return d.select(F.col("ord").alias("doc_id"), F.round(r, 6).alias("ratio"), text.quality_score(t, r).alias("score"), text.quality_gate(t, r).alias("passed"))
 
