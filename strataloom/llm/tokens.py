@@ -26,14 +26,15 @@ class PieceTokenizer:
     ``drops_space``: the tokenizer itself ignores all white space (its
     pre-tokeniser removes it), so that pieces are plain words. Otherwise a piece
     carries the white space before it, and a text with white space besides
-    blank and newline is encoded in one go.
+    blank and newline is encoded in one go. Strings of special tokens in a text give these
+    tokens, as in the library's plain call, or are ordinary text with ``special_as_text``.
     """
 
-    def __init__(self, path: str, drops_space: bool):
+    def __init__(self, path: str, drops_space: bool, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tok.encode_special_tokens = special_as_text
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.drops, self.memo = drops_space, {}
         if not drops_space:

@@ -60,7 +60,6 @@ def test_pieces_equal_whole_texts(tokenizers, texts):
 
 def whole(path: str, end: int):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return lambda x: [*t.encode(x or "", add_special_tokens=False).ids, end]
 
 
@@ -193,3 +192,15 @@ def test_chat_odd_tables(spark):
     assert chat.prefix_targets(spark.createDataFrame([], schema)).count() == 0
     df = spark.createDataFrame([(None, None, None, None, 1), (None, 1, "assistant", "b", 1), (None, 1, "assistant", "b", 2), (3, 1, "user", "q", 1)], schema)
     assert {r.conv_id: r.n_turns for r in chat.read_back(chat.prefix_targets(df)).collect()} == {None: 3, 3: 1}
+
+
+@pytest.mark.parametrize(("name", "drops"), [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_pieces_equal_the_plain_call(name, drops):
+    """Texts of special tokens' strings, odd blanks and letters, in pieces and in one go."""
+    from strataloom.llm.tokens import PieceTokenizer
+
+    rng = random.Random(1)
+    bits = ["<|endoftext|>", "<|startoftext|>", "</s>", " ", "\n", "  ", "word", "hello", "x", "\u00e9", "\u65e5\u672c", "!", "\t", "<|", "|>", "12"]
+    plain, pieces = whole(public_tokenizers.path(name), 0), PieceTokenizer(public_tokenizers.path(name), drops)
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 14))) for _ in range(4000)]
+    assert [np.frombuffer(x, pieces.dtype).tolist() for x in pieces.encode_batch(texts)] == [plain(t)[:-1] for t in texts]
