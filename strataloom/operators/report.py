@@ -60,3 +60,13 @@ def markdown_table(rows: list[tuple], header: list[str]) -> str:
     """A small aggregate as a Markdown table, for README files of data folders."""
     line = lambda x: "| " + " | ".join(str(v) for v in x) + " |"
     return "\n".join([line(header), line(["---"] * len(header)), *map(line, rows)])
+
+
+def readme(title: str, report: dict) -> str:
+    """A data folder's README: the report's single figures as a table, then a table for each distribution, largest first."""
+    plain = [(k.replace("_", " "), v) for k, v in report.items() if not isinstance(v, dict)]
+    parts = [f"# {title}", markdown_table(plain, ["figure", "value"])]
+    for name, counts in ((k, v) for k, v in report.items() if isinstance(v, dict)):
+        rows = sorted(counts.items(), key=lambda kv: (-kv[1], str(kv[0])))
+        parts += [f"## {name.replace('_', ' ')}", markdown_table(rows, ["value", "n"])]
+    return "\n\n".join(parts) + "\n"

@@ -204,6 +204,23 @@ def oracle_sql() -> dict[str, str]:
     out["url_parse_slug"] = f"SELECT page_id, h AS host, replace(h, '.', '_') || CASE WHEN s <> '' THEN '_' || s ELSE '' END AS slug FROM (SELECT page_id, {parts} FROM pages)"
     bad = " OR ".join(f"contains({c}, {lit(w)})" for c in ("lower(t)", "lower(url)") for w in fixed.TWO_WHEELERS) + " OR " + " OR ".join(f"contains(lower(url), {lit(w)})" for w in fixed.LAW_PORTALS + fixed.LAW_PATHS)
     out["url_validity"] = f"SELECT page_id, url <> '' AND t <> '' AND NOT ({bad} OR c = 0 OR (c = 1 AND NOT contains(lower(url), 'blog'))) AS valid FROM (SELECT page_id, url, page_id % 3 AS c, CASE WHEN page_id % 17 = 0 THEN 'Xe máy mới' WHEN page_id % 19 = 0 THEN '' ELSE 'Tin' END AS t FROM pages)"
+    portal = " OR ".join(f"contains(lower(url), {lit(w)})" for w in fixed.LAW_PORTALS)
+    known = f"""
+      SELECT * FROM (SELECT title, url, rank, ord, row_number() OVER (PARTITION BY url ORDER BY rank, ord) AS k FROM (
+        SELECT * FROM (VALUES ('Tin một', 'https://seed.example/one', 0, 1::BIGINT), ('Xe máy', 'https://seed.example/two', 0, 2), ('Tin một', 'https://seed.example/one', 0, 3), ('', 'https://seed.example/three', 0, 4)) v(title, url, rank, ord)
+        UNION ALL SELECT 'Tin ' || page_id, regexp_replace(url, '[?#].*', ''), 1, page_id FROM pages
+      ) WHERE url <> '' AND title <> '' AND NOT ({bad.replace("lower(t)", "lower(title)")})) WHERE k = 1"""
+    out["url_discovery"] = f"SELECT title, url, rank, ord FROM ({known})"
+    named = f"SELECT url, rank, ord, trim(regexp_replace(title, '[^a-zA-Z0-9_-]+', '_', 'g'), '_') || '.html' AS file FROM ({known}) WHERE NOT ({portal})"
+    once = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY rank, ord) AS nth FROM ({named})) WHERE nth = 1"
+    out["crawl_plan_status"] = f"SELECT file, url, CASE WHEN file IN (SELECT 'Tin_' || doc_id || '.html' FROM documents) THEN 'cached' ELSE 'pending' END AS status FROM ({once})"
+    out["crawl_page_cap"] = f"SELECT file, rank, ord, 'pending' AS status FROM ({once}) ORDER BY rank, ord LIMIT 20"
+    out["print_manifest_paths"] = """
+      SELECT d.doc_id, coalesce(a.path, b.path) AS path FROM documents d
+      LEFT JOIN (SELECT source || '/' || doc_id || '.pdf' AS path FROM documents WHERE length(text) > 500) a ON a.path = d.source || '/' || d.doc_id || '.pdf'
+      LEFT JOIN (SELECT DISTINCT doc_id || '.pdf' AS path FROM labels) b ON b.path = d.doc_id || '.pdf' WHERE coalesce(a.path, b.path) IS NOT NULL"""
+    out["gold_output_order"] = "SELECT doc_id, source AS topic, min(doc_id) OVER (PARTITION BY source) AS topic_ord FROM documents"
+    out["fetch_outcomes"] = "SELECT page_id, CASE WHEN length(coalesce(html, '')) > 500 THEN 'success' WHEN coalesce(url, '') <> '' THEN 'cached' ELSE 'failed' END AS status FROM pages"
     out["url_first_seen"] = "SELECT min(page_id) AS page_id, arg_min(address, page_id) AS address FROM (SELECT page_id, regexp_replace(url, '[?#].*', '') AS address FROM pages) GROUP BY regexp_extract(address, '^[a-z]+://([^/:?#]+)', 1)"
     out["manifest_anti_upsert"] = "SELECT doc_id AS file, source FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT doc_id, 'new' FROM documents WHERE doc_id % 2 = 0 AND doc_id % 3 <> 0"
     out["manifest_inner"] = "SELECT doc_id, source, quality FROM documents JOIN labels USING (doc_id)"

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, html, text
-from ..operators import chunking, classify, dedup, faq, relational, report
+from ..operators import chunking, classify, crawl, dedup, faq, relational, report
 from . import medallion
 from .medallion import Config
 
@@ -330,6 +330,55 @@ def url_validity(spark, sf_dir):
     return p.select("page_id", classify.url_is_valid(title, F.col("url"), category, official="blog").alias("valid"))
 
 
+SEEDS = [("Tin một", "https://seed.example/one", "khac", 1), ("Xe máy", "https://seed.example/two", "khac", 2), ("Tin một", "https://seed.example/one", "khac", 3), ("", "https://seed.example/three", "khac", 4)]
+
+
+def _discovered(spark, sf_dir):
+    seeds = spark.createDataFrame(SEEDS, "title string, url string, category string, ord long")
+    found = table(spark, sf_dir, "pages").select(F.concat(F.lit("Tin "), F.col("page_id").cast("string")).alias("title"), F.regexp_replace("url", r"[?#].*", "").alias("url"), F.lit("khac").alias("category"), F.col("page_id").alias("ord"))
+    return crawl.discovered(seeds, found)
+
+
+@_query
+def url_discovery(spark, sf_dir):
+    return _discovered(spark, sf_dir).select("title", "url", "rank", "ord")
+
+
+@_query
+def crawl_plan_status(spark, sf_dir):
+    manifest = table(spark, sf_dir, "documents").select(F.concat(F.lit("Tin_"), F.col("doc_id").cast("string"), F.lit(".html")).alias("file"))
+    return crawl.crawl_plan(_discovered(spark, sf_dir), manifest).select("file", "url", "status")
+
+
+@_query
+def crawl_page_cap(spark, sf_dir):
+    none = table(spark, sf_dir, "documents").select(F.lit("").alias("file"))
+    return crawl.crawl_plan(_discovered(spark, sf_dir), none, max_pages=20).select("file", "rank", "ord", "status")
+
+
+@_query
+def print_manifest_paths(spark, sf_dir):
+    """A manifest of documents against files in the folder of their source, or at the top where a label is known."""
+    d = table(spark, sf_dir, "documents")
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".pdf"))
+    manifest = d.select("doc_id", F.col("source").alias("category"), F.concat(F.lit("any/"), name).alias("relative_path"))
+    below = d.filter(F.length("text") > 500).select(F.concat_ws("/", "source", name).alias("path"))
+    top = table(spark, sf_dir, "labels").select(F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path")).distinct()
+    return crawl.located_prints(manifest, below.unionByName(top)).select("doc_id", "path")
+
+
+@_query
+def gold_output_order(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("topic"), F.col("doc_id").alias("ord"))
+    return crawl.output_order(d).select("doc_id", "topic", "topic_ord")
+
+
+@_query
+def fetch_outcomes(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", crawl.fetch_status(F.col("html"), F.nullif("url", F.lit("")), 500).alias("status"))
+
+
 @_query
 def url_first_seen(spark, sf_dir):
     p = table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", r"[?#].*", "").alias("address"))

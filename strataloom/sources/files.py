@@ -123,15 +123,20 @@ def write_csv(df: DataFrame, path: str) -> None:
         df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_report(spark: SparkSession, report: dict, path: str) -> None:
-    """A report of one row as indented JSON, by the path's own file system."""
+def write_text(spark: SparkSession, content: str, path: str) -> None:
+    """A small file, by the path's own file system."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
     try:
-        out.write(bytearray(json.dumps(report, ensure_ascii=False, indent=2).encode()))
+        out.write(bytearray(content.encode()))
     finally:
         out.close()
 
 
+def write_report(spark: SparkSession, report: dict, path: str) -> None:
+    """A report of one row as indented JSON."""
+    write_text(spark, json.dumps(report, ensure_ascii=False, indent=2), path)
+
+
 def read_report(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
