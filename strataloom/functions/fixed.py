@@ -7,12 +7,15 @@ another in its place.
 from __future__ import annotations
 
 #: Old and new placement of tone marks, replaced one after the other in this order.
-TONES = (
-    "oà òa oá óa oả ỏa oã õa oạ ọa Oà Òa Oá Óa Oả Ỏa Oã Õa Oạ Ọa "
-    "oè òe oé óe oẻ ỏe oẽ õe oẹ ọe Oè Òe Oé Óe Oẻ Ỏe Oẽ Õe Oẹ Ọe "
-    "uỳ ùy uý úy uỷ ủy uỹ ũy uỵ ụy Uỳ Ùy Uý Úy Uỷ Ủy Uỹ Ũy Uỵ Ụy "
-    "quĩ quỹ quì quỳ quý quý kĩ kỹ mĩ mỹ Quĩ Quỹ Quì Quỳ Kĩ Kỹ Mĩ Mỹ"
-).split()
+TONES = [
+    ("oà", "òa"), ("oá", "óa"), ("oả", "ỏa"), ("oã", "õa"), ("oạ", "ọa"), ("Oà", "Òa"),
+    ("Oá", "Óa"), ("Oả", "Ỏa"), ("Oã", "Õa"), ("Oạ", "Ọa"), ("oè", "òe"), ("oé", "óe"),
+    ("oẻ", "ỏe"), ("oẽ", "õe"), ("oẹ", "ọe"), ("Oè", "Òe"), ("Oé", "Óe"), ("Oẻ", "Ỏe"),
+    ("Oẽ", "Õe"), ("Oẹ", "Ọe"), ("uỳ", "ùy"), ("uý", "úy"), ("uỷ", "ủy"), ("uỹ", "ũy"),
+    ("uỵ", "ụy"), ("Uỳ", "Ùy"), ("Uý", "Úy"), ("Uỷ", "Ủy"), ("Uỹ", "Ũy"), ("Uỵ", "Ụy"),
+    ("quĩ", "quỹ"), ("quì", "quỳ"), ("quý", "quý"), ("kĩ", "kỹ"), ("mĩ", "mỹ"), ("Quĩ", "Quỹ"),
+    ("Quì", "Quỳ"), ("Kĩ", "Kỹ"), ("Mĩ", "Mỹ"),
+]
 
 #: Characters replaced by one of ASCII, and characters removed.
 TYPOGRAPHY_FROM, TYPOGRAPHY_TO = "\u00a0“”„«»‘’‚–—―", " \"\"\"\"\"'''---"
@@ -56,8 +59,8 @@ INLINE_NOISE = (
 )
 
 #: Abbreviations after which a full stop ends no sentence; the second kind may be followed by several.
-HONORIFICS = "pgs gs ts ths bs cn mr ms mrs dr k/g đ/c".split()
-HONORIFICS_DOTTED = "pgs.ts gs.ts th.s".split()
+HONORIFICS = ["pgs", "gs", "ts", "ths", "bs", "cn", "mr", "ms", "mrs", "dr", "k/g", "đ/c"]
+HONORIFICS_DOTTED = ["pgs.ts", "gs.ts", "th.s"]
 
 #: Headings of laws, and lines of printed pages that are page numbers or print marks.
 LEGAL_HEADING = r"^(Chương\s+[IVXLCDM\d]+.*|Điều\s+\d+.*|Mục\s+\d+.*)$"

@@ -46,9 +46,9 @@ def nfc(c: Column) -> Column:
     return F.coalesce(_nfc(F.when(c.rlike(_MAY_CHANGE), c)), c)
 
 
-def modern_tones(c: Column, table: list[str] = fixed.TONES) -> Column:
+def modern_tones(c: Column, pairs: list[tuple[str, str]] = fixed.TONES) -> Column:
     """Old placements of tone marks replaced, pair after pair; texts without any are left alone."""
-    out, pairs = c, list(zip(table[::2], table[1::2]))
+    out = c
     for old, new in pairs:
         out = F.replace(out, F.lit(old), F.lit(new))
     return F.when(c.rlike("|".join(old for old, _ in pairs)), out).otherwise(c)

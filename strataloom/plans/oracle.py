@@ -22,7 +22,7 @@ def replace_all(x: str, pattern: str, to: str) -> str:
 
 
 def tones(x: str) -> str:
-    for old, new in zip(fixed.TONES[::2], fixed.TONES[1::2]):
+    for old, new in fixed.TONES:
         x = f"replace({x}, '{old}', '{new}')"
     return x
 
