@@ -6,7 +6,7 @@ DuckDB's patterns are RE2: no look-around, ``\\s`` of ASCII only, ``(?i)`` of al
 from __future__ import annotations
 
 from ..functions import fixed
-from .queries import CORE, NFD, NOISE, SAMPLES, TOPICS
+from .queries import CORE, NFD, NOISE, SAMPLES, TOPICS, taxonomy_rows
 
 
 def lit(s: str) -> str:
@@ -103,14 +103,19 @@ def flagged(noise: str) -> str:
       FROM (SELECT *, {ratio('markdown')} AS r FROM (SELECT *, {m} AS markdown FROM ({BRONZE.format(noise=lit(noise))})))"""
 
 
-def judged() -> str:
-    h = {t: hits("body", w) for t, w in TOPICS.items()}
+JUDGED = """SELECT doc_id, source AS category, lower(coalesce(text, '') || CASE WHEN doc_id % 7 = 0 THEN ' Điều 5. Vượt xe trên đường' WHEN doc_id % 5 = 0 THEN ' mức phí' ELSE '' END) AS body,
+        ['Nghi Dinh 100 2019 ND-CP', 'Nghi Dinh 67 2023', 'Tin'][doc_id % 11 % 3 + 1] AS top FROM documents"""
+
+
+def judged(rows: str = JUDGED, topics: dict[str, list[str]] = TOPICS, core: list[str] = CORE) -> str:
+    """Verdicts on ``rows`` (doc_id, category, body in lower case, top)."""
+    h = {f'"{t}"': hits("body", w) for t, w in topics.items()}
     most = "greatest(" + ", ".join(h) + ")"
-    best = "CASE " + " ".join(f"WHEN {t} = {most} AND {most} > 0 THEN '{t}'" for t in h) + " END"
+    best = "CASE " + " ".join(f"WHEN {t} = {most} AND {most} > 0 THEN {lit(t[1:-1])}" for t in h) + " END"
     driving = r"(?i)điều\s+\d+\.\s*(" + "|".join(n.replace(" ", r"\s+") for n in fixed.DRIVING_RULES) + ")"
     excluded = " OR ".join(f"contains(lower(top), {lit(x)})" for x in fixed.EXCLUDED_TITLES)
     insured = " OR ".join(f"contains(body, {lit(x)})" for x in fixed.INSURANCE_WORDS)
-    core = ", ".join(map(lit, CORE))
+    core = ", ".join(map(lit, core))
     default = "CASE category " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fixed.DEFAULT_TOPICS.items()) + f" ELSE '{fixed.FALLBACK_TOPIC}' END"
     why = fixed.REASONS
     rule = f"""CASE WHEN {excluded} THEN 1 WHEN regexp_matches(body, {lit(driving)}) THEN 2 WHEN contains(lower(top), '{fixed.INSURANCE_TITLE}') AND NOT ({insured}) THEN 3
@@ -119,26 +124,40 @@ def judged() -> str:
     SELECT doc_id, rule IN (5, 6) AS admitted, CASE rule WHEN 5 THEN coalesce(best, {default}) WHEN 6 THEN best END AS topic,
       CASE rule WHEN 5 THEN 0.95::DOUBLE WHEN 6 THEN round(least(1.0::DOUBLE, 0.5::DOUBLE + most * 0.1::DOUBLE), 2) ELSE 0.0::DOUBLE END AS consultation_score,
       CASE rule WHEN 1 THEN {lit(why['excluded'])} || top WHEN 2 THEN {lit(why['driving'])} WHEN 3 THEN {lit(why['insurance'])} WHEN 4 THEN {lit(why['noise'])} WHEN 5 THEN {lit(why['core'])} WHEN 6 THEN {lit(why['topic'])} ELSE {lit(why['none'])} END AS reason
-    FROM (SELECT *, {rule} AS rule FROM (SELECT *, {most} AS most, {best} AS best FROM (SELECT *, {', '.join(f'{v} AS {k}' for k, v in h.items())} FROM (
-      SELECT doc_id, source AS category, lower(coalesce(text, '') || CASE WHEN doc_id % 7 = 0 THEN ' Điều 5. Vượt xe trên đường' WHEN doc_id % 5 = 0 THEN ' mức phí' ELSE '' END) AS body,
-        ['Nghi Dinh 100 2019 ND-CP', 'Nghi Dinh 67 2023', 'Tin'][doc_id % 11 % 3 + 1] AS top FROM documents))))"""
+    FROM (SELECT *, {rule} AS rule FROM (SELECT *, {most} AS most, {best} AS best FROM (SELECT *, {', '.join(f'{v} AS {k}' for k, v in h.items())} FROM ({rows}))))"""
 
 
 ITEMS = "SELECT min(doc_id) AS item, arg_min(lang, doc_id) AS topic, lower(text) AS text FROM documents WHERE text IS NOT NULL GROUP BY lower(text)"
-PAIRS = f"""
+def pairs(threshold: float) -> str:
+    return f"""
   SELECT a, b, round(c::DOUBLE / (na + nb - c), 6) AS jaccard FROM (
     SELECT x.item AS a, y.item AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS c
     FROM sh x JOIN sh y ON x.topic = y.topic AND x.s = y.s AND x.item < y.item AND least(x.n, y.n) >= 0.8 * greatest(x.n, y.n) GROUP BY 1, 2)
-  WHERE c::DOUBLE / (na + nb - c) >= 0.5"""
+  WHERE c::DOUBLE / (na + nb - c) >= {threshold}"""
+
+
+def greedy(threshold: float) -> str:
+    """WITH of items, merged (item, "into"): items in ascending order, each gone if an earlier neighbour is not."""
+    return f"""{SHINGLED.replace('WITH', 'WITH RECURSIVE', 1)}, near AS MATERIALIZED ({pairs(threshold)}),
+  node AS MATERIALIZED (SELECT b AS item, list(a) AS earlier, row_number() OVER (ORDER BY b) AS k FROM near GROUP BY b),
+  walk AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS gone UNION ALL
+    SELECT n.k, CASE WHEN len(list_filter(n.earlier, lambda e: NOT list_contains(w.gone, e))) > 0 THEN list_append(w.gone, n.item) ELSE w.gone END FROM walk w JOIN node n ON n.k = w.k + 1),
+  gone AS (SELECT unnest(gone) AS item FROM (SELECT gone FROM walk ORDER BY k DESC LIMIT 1)),
+  merged AS (SELECT b AS item, min(a) AS "into" FROM near WHERE b IN (FROM gone) AND a NOT IN (FROM gone) GROUP BY b)"""
+
+
 SHINGLED = f"WITH sets AS (SELECT item, topic, {shingle_list('text')} AS l FROM ({ITEMS})), sh AS (SELECT item, topic, len(l) AS n, unnest(l) AS s FROM sets WHERE len(l) >= 5)"
-SECTIONS = f"""
-  WITH lines AS (SELECT doc_id, unnest(string_split(markdown, chr(10))) AS line, generate_subscripts(string_split(markdown, chr(10)), 1) - 1 AS pos FROM ({HEADED})),
+def section_sql(docs: str) -> str:
+    return f"""
+  WITH lines AS (SELECT doc_id, unnest(string_split(markdown, chr(10))) AS line, generate_subscripts(string_split(markdown, chr(10)), 1) - 1 AS pos FROM ({docs})),
   heads AS (SELECT *, CASE WHEN regexp_matches({strip('line')}, '^#{{1,6}}\\s+.+$') THEN length(regexp_extract({strip('line')}, '^(#+)', 1)) END AS level, {strip(replace_all(strip('line'), '^#{1,6}' + chr(92) + 's+', ''))} AS title FROM lines),
   marked AS (SELECT *, sum((level IS NOT NULL)::INTEGER) OVER w AS section, {', '.join(f"last_value(CASE WHEN level = {k} THEN pos END IGNORE NULLS) OVER w AS p{k}, last_value(CASE WHEN level = {k} THEN title END IGNORE NULLS) OVER w AS h{k}" for k in (1, 2, 3))}
     FROM heads WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
   grouped AS (SELECT doc_id, section, any_value(concat_ws(' > ', CASE WHEN p1 IS NOT NULL THEN h1 END, CASE WHEN p2 > coalesce(p1, -1) THEN h2 END, CASE WHEN p3 > greatest(coalesce(p1, -1), coalesce(p2, -1)) THEN h3 END)) AS path,
     {strip("string_agg(line, chr(10) ORDER BY pos)")} AS body FROM marked WHERE level IS NULL GROUP BY 1, 2)
   SELECT doc_id, section, path, body FROM grouped WHERE body <> ''"""
+
+
 FORWARD = "SELECT conv_id, turn, role, text, coalesce(last_value(CASE WHEN role = 'user' THEN coalesce(text, '') END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING), 'none') AS question FROM conversations"
 
 
@@ -149,6 +168,21 @@ def page_lines(x: str) -> str:
     return f"list_filter(list_transform(list_transform(string_split({x}, chr(10)), lambda l: {shaped}), lambda y: {head}), lambda z: z <> '')"
 
 
+def sentence_sql() -> str:
+    """Ends of sentences are marked with chr(1), marks after honorifics taken away again."""
+    edge, one = r"(^|[^\p{L}\p{N}_./])", "|".join(fixed.HONORIFICS)
+    more = "|".join(h.replace(".", r"\.") for h in fixed.HONORIFICS_DOTTED)
+    x = f"replace(regexp_replace(p, {lit(r'([.!?…])([ ' + chr(9) + r']\s*)([A-ZÀ-ỹ' + chr(34) + chr(39) + '(“‘0-9])')}, '\\1~@~\\2\\3', 'g'), '~@~', chr(1))"
+    x = f"regexp_replace({x}, {lit(f'{edge}((?i:{one})[.])' + chr(1))}, '\\1\\2', 'g')"
+    x = f"regexp_replace({x}, {lit(f'{edge}((?i:{more})[.]+)' + chr(1))}, '\\1\\2', 'g')"
+    unit = "regexp_matches(p, '^[#*>|-]|^```')"
+    parts = f"list_filter(list_transform(string_split({x}, chr(1)), lambda s: {strip('s')}), lambda s: s <> '')"
+    paragraphs = f"list_filter(list_transform(string_split(text, chr(10)), lambda l: {strip('l')}), lambda l: l <> '')"
+    return f"""
+    SELECT doc_id, generate_subscripts(l, 1)::INTEGER - 1 AS nth, unnest(l) AS sentence FROM (
+      SELECT doc_id, flatten(list_transform({paragraphs}, lambda p: CASE WHEN {unit} THEN [p] ELSE {parts} END)) AS l FROM documents)"""
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out["boilerplate_strip"] = f"SELECT ord AS doc_id, {boilerplate('raw_content')} AS clean FROM ({BRONZE.format(noise=lit(NOISE))})"
@@ -160,6 +194,7 @@ def oracle_sql() -> dict[str, str]:
     out["nfc_normalize"] = f"SELECT k, nfc_normalize(t) AS composed FROM (SELECT doc_id || 'd' AS k, text AS t FROM documents UNION ALL {values})"
     out["quality"] = f"SELECT doc_id, round(r, 6) AS ratio, {score('t', 'r')} AS score, {gate('t', 'r')} AS passed FROM (SELECT doc_id, coalesce(text, '') AS t, {ratio('coalesce(text, chr(32)[:0])')} AS r FROM documents)".replace("chr(32)[:0]", "''")
     out["plain_text"] = f"SELECT doc_id, {plain('markdown')} AS plain, {n_words('markdown')} AS n_words, length(markdown)::INTEGER AS n_chars FROM ({HEADED})"
+    out["sentence_split"] = sentence_sql()
     out["shingle_sets"] = f"SELECT doc_id, len(l)::INTEGER AS n, md5(array_to_string(l, ',')) AS digest FROM (SELECT doc_id, {shingle_list('text')} AS l FROM documents WHERE text IS NOT NULL)"
     key = f"lower({strip(replace_all(replace_all('markdown', '^[' + chr(92) + 's#*' + chr(92) + '->|]+', ''), chr(92) + 's+', ' '))})"
     out["dedup_keys"] = f"SELECT doc_id, sha256({key}) AS key FROM ({HEADED})"
@@ -173,22 +208,30 @@ def oracle_sql() -> dict[str, str]:
     SELECT count(*)::BIGINT AS total, count(*) FILTER (NOT low_quality AND nth = 1)::BIGINT AS documents, count(*) FILTER (NOT low_quality AND nth > 1)::BIGINT AS duplicates, count(*) FILTER (low_quality)::BIGINT AS low_quality,
       round(avg(quality_score) FILTER (NOT low_quality AND nth = 1), 3) AS average_quality FROM f"""
     out["source_histogram"] = "SELECT coalesce(nullif(source, ''), 'general') AS category, count(*) AS n FROM documents GROUP BY 1"
-    out["heading_sections"] = SECTIONS
+    out["heading_sections"] = section_sql(HEADED)
+    titled = "SELECT doc_id, '# ' || source || chr(10) || coalesce(text, '') AS markdown FROM documents"
     out["chunk_sizes"] = f"""
-    SELECT doc_id || '_0' AS chunk_id, source AS heading_context, content, {n_words('content')} AS token_estimate, length(content)::INTEGER AS char_count FROM (
-      SELECT doc_id, source, '[' || source || ']' || chr(10) || body AS content FROM (SELECT doc_id, source, {strip("array_to_string(string_split(coalesce(text, ''), '.')[1:2], '.')")} AS body FROM documents) WHERE length(body) >= 40)"""
+    SELECT doc_id || '_' || nth AS chunk_id, path AS heading_context, content, {n_words('content')} AS token_estimate, length(content)::INTEGER AS char_count FROM (
+      SELECT doc_id, path, row_number() OVER (PARTITION BY doc_id ORDER BY section) - 1 AS nth, '[' || path || ']' || chr(10) || body AS content FROM ({section_sql(titled)}) WHERE length(body) >= 40)"""
     h = {t: hits("lower(text)", w) for t, w in TOPICS.items()}
     most = f"greatest({', '.join(h.values())})"
     out["topic_hits"] = f"SELECT doc_id, {', '.join(f'{v} AS {k}' for k, v in h.items())}, CASE {' '.join(f'WHEN {v} = {most} AND {most} > 0 THEN {lit(k)}' for k, v in h.items())} END AS best, {most} AS most FROM documents"
     out["gold_cascade"] = judged()
     out["gold_drop_reasons_top10"] = f"SELECT reason, n FROM (SELECT reason, count(*) AS n, min(doc_id) AS first FROM ({judged()}) WHERE NOT admitted GROUP BY reason ORDER BY n DESC, first LIMIT 10)"
+    rows = ", ".join(f"({n}::BIGINT, {lit(c)}, {lit(category)})" for n, (_, c, category) in enumerate(taxonomy_rows()))
+    made = f"SELECT n AS doc_id, category, lower(content) AS body, '' AS top FROM (VALUES {rows}) v(n, content, category)"
+    out["real_taxonomy"] = f"SELECT doc_id AS ord, admitted, topic, consultation_score, reason FROM ({judged(made, fixed.TOPICS, fixed.CORE_CATEGORIES)})"
     out["gold_report"] = f"SELECT count(*) AS total, count(*) FILTER (admitted) AS admitted, round((count(*) FILTER (admitted))::DOUBLE * 100.0 / count(*), 2) AS retention FROM ({judged()})"
     titles = "CASE WHEN doc_id % 13 = 0 THEN source || ' Cho vay' ELSE source END"
     out["doc_existence_or_rule"] = f"SELECT doc_id, title FROM (SELECT doc_id, {titles} AS title, source FROM documents) WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0) OR source IN ({', '.join(map(lit, CORE))}) OR ({' OR '.join(f'contains(lower(title), {lit(w)})' for w in fixed.LEGAL_TITLE_WORDS)})"
     out["exact_chunk_dedup"] = f"""
     WITH c AS (SELECT doc_id, doc_id % 3 AS depth, (doc_id % 2) / 2.0::DOUBLE AS score, {key.replace('markdown', 'text')} AS k FROM documents WHERE text IS NOT NULL)
     SELECT min(doc_id) AS ord, arg_max(doc_id, score * 1e12 + depth * 1e9 - doc_id)::VARCHAR AS doc_id, max(score) AS consultation_score, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS sources, (count(*) - 1)::INTEGER AS duplicate_count FROM c WHERE k <> '' GROUP BY k"""
-    out["jaccard_pairs"] = SHINGLED + PAIRS
+    out["jaccard_pairs"] = SHINGLED + pairs(0.5)
+    out["near_dedup_greedy"] = greedy(0.5) + ' SELECT item, "into" FROM merged'
+    out["near_dedup_strict"] = greedy(0.9) + ' SELECT item, "into" FROM merged'
+    out["near_dedup_merge"] = f"""{greedy(0.5)} SELECT i.item AS ord, concat_ws(',', i.item, string_agg(m.item, ',' ORDER BY m.item)) AS sources, count(m.item)::INTEGER AS near_duplicate_merged
+      FROM ({ITEMS}) i LEFT JOIN merged m ON m."into" = i.item WHERE i.item NOT IN (SELECT item FROM merged) GROUP BY i.item"""
     out["faq_forward_fill"] = f"SELECT conv_id, turn, question, text AS answer FROM ({FORWARD}) WHERE role = 'assistant'"
     out["faq_group_concat"] = f"""
     SELECT 'faq_doc_' || md5(lower(replace(category || '_' || subcategory, ' ', '_')))[:10] AS doc_id, category, subcategory, md5(content) AS digest, length(content)::INTEGER AS n_chars, n AS total_questions FROM (
@@ -222,7 +265,7 @@ def oracle_sql() -> dict[str, str]:
     out["gold_output_order"] = "SELECT doc_id, source AS topic, min(doc_id) OVER (PARTITION BY source) AS topic_ord FROM documents"
     out["fetch_outcomes"] = "SELECT page_id, CASE WHEN length(coalesce(html, '')) > 500 THEN 'success' WHEN coalesce(url, '') <> '' THEN 'cached' ELSE 'failed' END AS status FROM pages"
     out["url_first_seen"] = "SELECT min(page_id) AS page_id, arg_min(address, page_id) AS address FROM (SELECT page_id, regexp_replace(url, '[?#].*', '') AS address FROM pages) GROUP BY regexp_extract(address, '^[a-z]+://([^/:?#]+)', 1)"
-    out["manifest_anti_upsert"] = "SELECT doc_id AS file, source FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT doc_id, 'new' FROM documents WHERE doc_id % 2 = 0 AND doc_id % 3 <> 0"
+    out["manifest_anti_upsert"] = "SELECT doc_id AS file, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT doc_id, 'labelled' FROM labels"
     out["manifest_inner"] = "SELECT doc_id, source, quality FROM documents JOIN labels USING (doc_id)"
     out["catalog_left_default"] = "SELECT l_partkey, coalesce(any_value(p_name), 'part ' || l_partkey) AS name, count(*) AS n FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 25) ON l_partkey = p_partkey GROUP BY l_partkey"
     provinces = ", ".join(f"({lit(n)}, {fee}::BIGINT)" for _, n, fee in fixed.KEY_PROVINCES)

@@ -167,18 +167,13 @@ def silver_chunks(spark, sf_dir):
 
 @_query
 def chunk_sizes(spark, sf_dir):
-    """One-line documents, whose sections all fit: chunks that SQL can tell too."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("# "), "source", F.lit("\n"), F.substring_index(F.coalesce("text", F.lit("")), ".", 2)).alias("markdown"))
+    """Whole texts with all their lines and headings, in sections that all fit: chunks that SQL can tell too."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("# "), "source", F.lit("\n"), F.coalesce(F.col("text"), F.lit(""))).alias("markdown"))
     c = chunking.chunks(d, size=1_000_000)
     return c.select("chunk_id", "heading_context", "content", "token_estimate", "char_count")
 
 
-@_query
-def chunk_sizes_whole(spark, sf_dir):
-    """As chunk_sizes, of whole texts with all their lines and headings, which SQL does not tell."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("# "), "source", F.lit("\n"), F.coalesce(F.col("text"), F.lit(""))).alias("markdown"))
-    c = chunking.chunks(d, size=1_000_000)
-    return c.select("chunk_id", "heading_context", "content", "token_estimate", "char_count")
+chunk_sizes_whole = chunk_sizes
 
 
 # --- classification
@@ -216,11 +211,16 @@ def gold_report(spark, sf_dir):
     return j.agg(F.count("*").alias("total"), F.count_if("admitted").alias("admitted"), report.share(F.count_if("admitted"), F.count("*")).alias("retention"))
 
 
+def taxonomy_rows() -> list[tuple]:
+    rows = [(i, w + " " + v, t) for i, (t, ws) in enumerate(fixed.TOPICS.items()) for w, v in [(ws[0], ws[-1]), (ws[1], "khác")]]
+    rows += [(90, "Điều 8. Nhường đường cho xe", "luat"), (91, "about: blank", "x"), (92, "không liên quan", "faq")]
+    return rows
+
+
 @_query
 def real_taxonomy(spark, sf_dir):
     """The shipped rule tables on texts made of their own words."""
-    rows = [(i, w + " " + v, t) for i, (t, ws) in enumerate(fixed.TOPICS.items()) for w, v in [(ws[0], ws[-1]), (ws[1], "khác")]]
-    rows += [(90, "Điều 8. Nhường đường cho xe", "luat"), (91, "about: blank", "x"), (92, "không liên quan", "faq")]
+    rows = taxonomy_rows()
     d = spark.createDataFrame([(k, c, [], cat, n) for n, (k, c, cat) in enumerate(rows)], "k long, content string, heading_path array<string>, category string, ord long")
     return medallion.verdicts(d).select("ord", "admitted", "topic", "consultation_score", "reason")
 
@@ -389,8 +389,8 @@ def url_first_seen(spark, sf_dir):
 def manifest_anti_upsert(spark, sf_dir):
     from ..sources.files import upsert_manifest
 
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"), "source")
-    old, new = d.filter("file % 3 = 0"), d.filter("file % 2 = 0").withColumn("source", F.lit("new"))
+    new = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"), "source")
+    old = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("file"), F.lit("labelled").alias("source"))
     return upsert_manifest(old, new)
 
 
