@@ -194,7 +194,8 @@ def with_neighbour(docs: DataFrame, per_pair, schema: str) -> DataFrame:
     low = -(1 << 63)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.coalesce("doc_id", F.lit(low)))
-    bounds = np.unique(np.array(rows.approxQuantile("key", [i / n for i in range(1, n)], 0.002) if n > 1 else [], np.float64))
+    # an error below a range's share, so that more partitions are more ranges
+    bounds = np.unique(np.array(rows.approxQuantile("key", [i / n for i in range(1, n)], min(0.002, 0.25 / n)) if n > 1 else [], np.float64))
 
     @F.pandas_udf("int")
     def part(key: pd.Series) -> pd.Series:
