@@ -161,7 +161,7 @@ def _fit(docs: DataFrame, labels: DataFrame, max_train: int, n_fourier: int, rid
         return Model(*(np.zeros(0) for _ in range(5)), (np.zeros(0), np.zeros(0)))
     mean = s[3 : 3 + d] / s[0]
     scale = np.sqrt(np.maximum(s[3 + d :] / s[0] - mean**2, 0))
-    scale[scale < 1e-9] = 1
+    scale[scale < 1e-6 * (1 + np.abs(mean))] = 1  # constant, up to the rounding of the sums
     rng = np.random.default_rng(seed)
     w, phase = rng.normal(0, 1 / np.sqrt(d), (d, n_fourier)), rng.uniform(0, 2 * np.pi, n_fourier)
     model = Model(mean, scale, w, phase, np.zeros(0), (np.zeros(0), np.zeros(0)))
