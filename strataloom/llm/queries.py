@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cws, line_dedup, mixing, ngram_join, ogg, quality, simhash, token_files, warc
+from . import chat, cws, line_dedup, mixing, negatives, ngram_join, ogg, quality, simhash, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,9 +84,15 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.to_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.select("vec_id", "embedding", moved.alias("label")), F.col("id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_token_files, op3_ngram_join, op4_ogg_media, op5_mixing, op6_chat, op7_quality, op8_warc, op9_packing, op10_fingerprints, op12_simhash)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_token_files, op3_ngram_join, op4_ogg_media, op5_mixing, op6_chat, op7_quality, op8_warc, op9_packing, op10_fingerprints, op12_simhash, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat": chat.ORACLE}
+    return {"op6_chat": chat.ORACLE, "op13_hard_negatives": negatives.ORACLE}
