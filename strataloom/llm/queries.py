@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cws, line_dedup, mixing, negatives, ngram_join, ogg, quality, simhash, token_files, warc
+from . import chat, cws, line_dedup, mixing, negatives, ngram_join, ogg, quality, repair, simhash, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.edited_likeness(table(spark, sf_dir, "documents"), k=64)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(rows), rows.select("conv_id"))
+
+
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_classes(table(spark, sf_dir, "documents"), k=4, radius=4)
     return out.select("doc_id", simhash.to_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -91,7 +96,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_token_files, op3_ngram_join, op4_ogg_media, op5_mixing, op6_chat, op7_quality, op8_warc, op9_packing, op10_fingerprints, op12_simhash, op13_hard_negatives)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_token_files, op3_ngram_join, op4_ogg_media, op5_mixing, op6_chat, op7_quality, op8_warc, op9_packing, op10_fingerprints, op11_conversation_repair, op12_simhash, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
