@@ -2,7 +2,7 @@
 
 The folder is the one the cluster names in ``spark.checkpoint.dir``; each table has
 a directory of its own below it. A written table cuts lineage and survives the
-loss of executors. Tables belong to the innermost open ``scope``: they go when
+loss of executors. Tables belong to the innermost open ``scope`` of the thread that makes them: they go when
 they are dropped, when the scope ends (but for those that its result still
 reads), or at the latest when the driver exits.
 """
@@ -16,13 +16,23 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 #: Directories still there, by session-independent URI.
 _made: dict[str, SparkSession] = {}
-_scopes: list[list[str]] = []
+
+
+@dataclass(eq=False)
+class _Scope:
+    uris: list[str] = field(default_factory=list)
+
+
+#: The innermost open scope of each thread (or task of an event loop): plans that run side by side never share one.
+_scope: ContextVar[_Scope | None] = ContextVar("scope", default=None)
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -41,8 +51,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A new directory URI, owned by the innermost scope."""
     uri = f"{shared_base(spark).rstrip('/')}/strataloom/{name}-{uuid.uuid4().hex}"
     _made[uri] = spark
-    if _scopes:
-        _scopes[-1].append(uri)
+    if (inner := _scope.get()) is not None:
+        inner.uris.append(uri)
     return uri
 
 
@@ -87,20 +97,20 @@ def free_shuffles(spark: SparkSession) -> None:
 def scope(spark: SparkSession) -> Iterator[list[DataFrame]]:
     """Tables made inside are deleted at the end, also after an error, but for those that
     the frames put in the yielded list read. These pass to the scope around."""
-    own: list[str] = []
+    own, outer = _Scope(), _scope.get()
     results: list[DataFrame] = []
-    _scopes.append(own)
+    token = _scope.set(own)
     try:
         yield results
     finally:
-        _scopes.remove(own)
+        _scope.reset(token)
         read = {os.path.basename(os.path.dirname(f)) for r in results for f in r.inputFiles()}
-        kept = [u for u in own if os.path.basename(u) in read]
-        for u in own:
+        kept = [u for u in own.uris if os.path.basename(u) in read]
+        for u in own.uris:
             if u not in kept:
                 _delete(u)
-        if _scopes:
-            _scopes[-1].extend(kept)
+        if outer is not None:
+            outer.uris.extend(kept)
         free_shuffles(spark)
 
 
