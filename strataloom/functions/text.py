@@ -194,12 +194,37 @@ def contains_any(c: Column, keywords: list[str]) -> Column:
     return out
 
 
-def n_contained(c: Column, keywords: list[str]) -> Column:
-    """How many of the keywords the text holds."""
-    out = F.lit(0)
+def _longest(keywords: list[str]) -> str:
+    """A pattern for the longest of the keywords that begins at a place: their trie, children before ends, so
+    that of each first character one branch is followed."""
+    trie: dict = {}
     for k in keywords:
-        out = out + F.contains(c, F.lit(k)).cast("int")
-    return out
+        node = trie
+        for c in k:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def show(node: dict) -> str:
+        branches = [(c if c.isalnum() else f"\\x{{{ord(c):x}}}") + show(below) for c, below in node.items() if c]
+        if not branches:
+            return ""
+        inner = branches[0] if len(branches) == 1 and "" not in node else f"(?:{'|'.join(branches)})"
+        return inner + ("?" if "" in node else "")
+
+    return show(trie)
+
+
+def found_keywords(c: Column, keywords: list[str]) -> Column:
+    """Places in ``keywords`` (none of them empty) of those that the text holds anywhere, each once, ascending.
+
+    One pass over the text, whatever their number: at each place the longest keyword that begins there is found, and with it
+    those with which it begins itself. Keywords may overlap, and may be stated twice."""
+    if not keywords:
+        return F.when(c.isNotNull(), F.array().cast("array<int>"))
+    begun = {k: [i for i, x in enumerate(keywords) if k.startswith(x)] for k in keywords}
+    table = F.create_map(*(x for k, places in begun.items() for x in (F.lit(k), F.array(*map(F.lit, places)))))
+    seen = F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?=({_longest(keywords)}))"), F.lit(1)))
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(seen, lambda k: F.element_at(table, k)))))
 
 
 def host(url: Column) -> Column:

@@ -1,19 +1,56 @@
-"""Heading-aware chunking of Markdown.
+"""Heading-aware chunking of Markdown, row by row.
 
-Lines are exploded and windows over (document, line) find code fences, headings
-and sections; sections are packed by a fold over their sentences. All windows
-share one partitioning by document, so the text is shuffled once, and state never
-exceeds a section.
+One pattern goes over a text once and marks its headings; code fences are consumed whole, so that nothing
+inside is one. The text is split at the marks, a fold over the headings keeps the stack of those
+open, and sections are packed by a fold over their sentences. All of that happens
+inside the row: nothing is shuffled, and a document's columns stay with its chunks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 
-LEVELS = range(1, 7)
+#: Marks before a heading, after its number signs and after its title. A mark's first character in a text is followed by ``_KEPT`` meanwhile.
+_MARK, _TITLE, _END, _KEPT = "\x01\x03", "\x01\x04", "\x01\x05", "\x01\x02"
+_BLANK = r"[^\S\n]"
+
+
+def _outline() -> str:
+    """A fenced block (group 1), a heading (its signs and title: 2 and 3) or, below 80 characters, a heading of a law (4)."""
+    fence = rf"(^{_BLANK}*```(?s:.*?)(?:\n{_BLANK}*```[^\n]*|\z))"
+    heading = rf"^{_BLANK}*(#{{1,6}}){_BLANK}+(\S(?:[^\n]*\S)?){_BLANK}*$"
+    legal = fixed.LEGAL_HEADING.removeprefix("^").replace(r"\s", _BLANK)
+    return rf"(?mdU){fence}|{heading}|^(?={_BLANK}*\S(?:.{{0,77}}\S)?{_BLANK}*$){_BLANK}*(?i:{legal})"
+
+
+def _with_sections(docs: DataFrame, markdown: str, into: str) -> DataFrame:
+    """``docs`` with ``into``: array of (section, heading_path, text), sections without text left out."""
+    kept = F.replace(F.col(markdown), F.lit("\x01"), F.lit(_KEPT))
+    marked = F.replace(F.regexp_replace(kept, _outline(), f"$1{_MARK}$2{_TITLE}$3$4{_END}"), F.lit(_MARK + _TITLE + _END), F.lit(""))
+    parts = F.transform(F.split(marked, _MARK, -1), lambda p: F.split(p, "\x01[\x04\x05]", -1))
+    told = lambda x: text.strip(F.replace(x, F.lit(_KEPT), F.lit("\x01")))
+
+    def part(x: Column, i: Column) -> Column:
+        level = F.when(F.size(x) == 1, 0).when(x[0] != "", F.length(x[0])).when(F.startswith(F.lower(x[1]), F.lit("chương")), 2).otherwise(3)
+        return F.struct(i.alias("section"), level.alias("level"), F.when(F.size(x) > 1, told(x[1])).alias("title"), told(F.element_at(x, -1)).alias("text"))
+
+    start = F.struct(F.array().cast("array<struct<level:int,title:string>>").alias("open"), F.array().cast("array<struct<section:int,heading_path:array<string>,text:string>>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        above = F.filter(s["open"], lambda h: h["level"] < x["level"])
+        pushed = F.when(x["level"] > 0, F.array_append(above, F.struct(x["level"].alias("level"), x["title"].alias("title")))).otherwise(s["open"])
+
+        def with_stack(stack: Column) -> Column:
+            own = F.struct(x["section"].alias("section"), F.transform(stack, lambda h: h["title"]).alias("heading_path"), x["text"].alias("text"))
+            return F.struct(stack.alias("open"), F.when(x["text"] != "", F.array_append(s["out"], own)).otherwise(s["out"]).alias("out"))
+
+        return text.bind(pushed, with_stack)
+
+    # one expression that uses each part of it once: a column between would be computed anew for every use
+    return docs.withColumn(into, F.aggregate(F.transform(parts, part), start, step, lambda s: s["out"]))
 
 
 def sections(docs: DataFrame, doc_id: str = "doc_id", markdown: str = "markdown") -> DataFrame:
@@ -21,31 +58,11 @@ def sections(docs: DataFrame, doc_id: str = "doc_id", markdown: str = "markdown"
 
     Headings are ``#`` to ``######`` and, below 80 characters, headings of laws
     (chapters at level 2, others at 3), outside code fences. A heading ends those
-    of its level and deeper.
+    of its level and deeper. ``section`` counts the headings before.
     """
-    lines = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(F.col(markdown), "\n", -1)).alias("pos", "line"))
-    trimmed = text.strip(F.col("line"))
-    order = Window.partitionBy("doc_id").orderBy("pos")
-    fence = F.startswith("trimmed", F.lit("```"))
-    lines = lines.withColumn("trimmed", trimmed)
-    inside = F.coalesce(F.sum(fence.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2 == 1
-    marks = F.length(F.regexp_extract("trimmed", r"^(#{1,6})(?U:\s+).+\z", 1))
-    legal = F.col("trimmed").rlike(f"(?iU){fixed.LEGAL_HEADING}") & (F.length("trimmed") < 80)
-    level = F.when(fence | inside, None).when(marks > 0, marks).when(legal, F.when(F.lower("trimmed").startswith("chương"), 2).otherwise(3))
-    title = F.when(marks > 0, text.strip(F.regexp_extract("trimmed", r"^#{1,6}(?U:\s+)(.+)\z", 1))).otherwise(F.col("trimmed"))
-    lines = lines.withColumn("level", level).withColumn("title", F.when(F.col("level").isNotNull(), title))
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = {k: F.last(F.when(F.col("level") == k, F.struct("pos", "title")), ignorenulls=True).over(upto) for k in LEVELS}
-    lines = lines.select("doc_id", "pos", "line", "level", F.sum(F.col("level").isNotNull().cast("int")).over(upto).alias("section"), *(last[k].alias(f"h{k}") for k in LEVELS))
-    path, above = [], F.lit(-1)
-    for k in LEVELS:
-        at = F.coalesce(F.col(f"h{k}.pos"), F.lit(-1))
-        path.append(F.when(at > above, F.col(f"h{k}.title")))
-        above = F.greatest(above, at)
-    body = lines.filter("level is null").select("doc_id", "section", "pos", "line", F.filter(F.array(*path), lambda x: x.isNotNull()).alias("heading_path"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n")
-    out = body.groupBy("doc_id", "section").agg(F.first("heading_path").alias("heading_path"), text.strip(joined).alias("text"))
-    return out.filter("text != ''")
+    d = _with_sections(docs.select(F.col(doc_id).alias("doc_id"), F.col(markdown).alias("_markdown")), "_markdown", "_s")
+    # outer: a plain explode brings a filter on the array's size, which would compute it twice
+    return d.select("doc_id", F.explode_outer("_s").alias("s")).filter("s is not null").select("doc_id", "s.section", "s.heading_path", "s.text")
 
 
 def pack(sentences: Column, size: int, overlap: int, least: int) -> Column:
@@ -83,20 +100,25 @@ def pack(sentences: Column, size: int, overlap: int, least: int) -> Column:
     return F.aggregate(sentences, start, step, lambda s: F.when(F.size(s["cur"]) > 0, emit(s["out"], s["cur"])).otherwise(s["out"]))
 
 
-def chunks(docs: DataFrame, doc_id: str = "doc_id", markdown: str = "markdown", size: int = 512, overlap: int = 80, least: int = 40) -> DataFrame:
+def chunks(docs: DataFrame, doc_id: str = "doc_id", markdown: str = "markdown", size: int = 512, overlap: int = 80, least: int = 40, keep: tuple[str, ...] = ()) -> DataFrame:
     """(chunk_id, doc_id, chunk_index, heading_path, heading_context, content,
-    raw_chunk_text, token_estimate, char_count). Sections that fit, and those with a
-    table row, are one chunk; none is shorter than ``least``. Columns of documents are joined back by doc_id."""
-    s = sections(docs, doc_id, markdown)
-    whole = (F.length("text") <= size) | F.exists(F.split("text", "\n", -1), lambda x: F.startswith(text.strip(x), F.lit("|")))
-    alone = F.when(F.length("text") >= least, F.array("text")).otherwise(F.array().cast("array<string>"))
-    s = s.withColumn("pieces", F.when(whole, alone).otherwise(pack(text.sentences(F.when(~whole, F.col("text"))), size, overlap, least)))
-    p = s.select("doc_id", "section", "heading_path", F.posexplode("pieces").alias("piece", "raw_chunk_text"))
-    index = F.row_number().over(Window.partitionBy("doc_id").orderBy("section", "piece")) - 1
+    raw_chunk_text, token_estimate, char_count) and the columns ``keep`` of each document. Sections that fit, and those with a
+    table row, are one chunk; none is shorter than ``least``. Rows of ``docs`` are chunked each on its own, whatever their doc_id."""
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(markdown).alias("_markdown"), F.struct(F.lit(0).alias("_none"), *(F.col(c) for c in keep)).alias("_keep"))
+    none = F.array().cast("array<string>")
+
+    def pieces(t: Column) -> Column:
+        whole = (F.length(t) <= size) | F.exists(F.split(t, "\n", -1), lambda x: F.startswith(text.strip(x), F.lit("|")))
+        alone = F.when(F.length(t) >= least, F.array(t)).otherwise(none)
+        return F.when(whole, alone).otherwise(pack(text.sentences(t), size, overlap, least))
+
+    s = _with_sections(own, "_markdown", "_s").drop("_markdown")
+    cut = F.flatten(F.transform("_s", lambda x: F.transform(pieces(x["text"]), lambda p: F.struct(x["heading_path"].alias("heading_path"), p.alias("raw_chunk_text")))))
+    p = s.select("doc_id", "_keep", F.posexplode_outer(cut).alias("chunk_index", "_c")).filter("_c is not null").select("doc_id", "_keep", "chunk_index", "_c.heading_path", "_c.raw_chunk_text")
     context = F.array_join("heading_path", " > ")
     content = F.when(context != "", F.concat(F.lit("["), context, F.lit("]\n"), "raw_chunk_text")).otherwise(F.col("raw_chunk_text"))
-    p = p.withColumn("chunk_index", index).withColumn("heading_context", context).withColumn("content", content)
+    p = p.withColumn("heading_context", context).withColumn("content", content)
     return p.select(
         F.concat_ws("_", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string")).alias("chunk_id"), "doc_id", "chunk_index", "heading_path", "heading_context", "content", "raw_chunk_text",
-        text.n_words(F.col("content")).alias("token_estimate"), F.length("content").alias("char_count"),
+        text.n_words(F.col("content")).alias("token_estimate"), F.length("content").alias("char_count"), *(F.col(f"_keep.{c}").alias(c) for c in keep),
     )

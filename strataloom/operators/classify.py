@@ -8,9 +8,22 @@ from pyspark.sql import functions as F
 from ..functions import fixed, text
 
 
-def topic_hits(content: Column, topics: dict[str, list[str]] = fixed.TOPICS) -> dict[str, Column]:
-    """Keywords of each topic that the text holds."""
-    return {t: text.n_contained(content, words) for t, words in topics.items()}
+def topic_keywords(content: Column, topics: dict[str, list[str]] = fixed.TOPICS) -> Column:
+    """Keywords of all topics that the text holds, by their place in the topics' lists one after the other."""
+    return text.found_keywords(content, [w for words in topics.values() for w in words])
+
+
+def topic_hits(found: Column, topics: dict[str, list[str]] = fixed.TOPICS) -> dict[str, Column]:
+    """How many of the keywords ``found`` each topic has."""
+
+    def between(a: int, b: int) -> Column:
+        return F.size(F.filter(found, lambda i: (i >= a) & (i < b)))
+
+    out, begin = {}, 0
+    for name, words in topics.items():
+        out[name] = between(begin, begin + len(words))
+        begin += len(words)
+    return out
 
 
 def best_topic(hits: dict[str, Column]) -> tuple[Column, Column]:
@@ -36,20 +49,33 @@ def chunk_verdict(content: Column, heading_path: Column, category: Column, topic
     """struct(admitted, topic, score, reason); the first rule that applies decides."""
     top = F.coalesce(F.get(heading_path, F.lit(0)), F.lit(""))
     title, body = F.lower(top), F.lower(content)
-    topic, hits = best_topic(topic_hits(body, topics))
-    score = F.round(F.least(F.lit(1.0), 0.5 + hits * 0.1), 2)
     why = fixed.REASONS
     out = lambda admitted, topic, score, reason: F.struct(F.lit(admitted).alias("admitted"), topic.cast("string").alias("topic"), score.cast("double").alias("score"), reason.alias("reason"))
     no = lambda reason: out(False, F.lit(None), F.lit(0.0), reason if isinstance(reason, Column) else F.lit(reason))
-    return (
-        F.when(text.contains_any(title, excluded), no(F.concat(F.lit(why["excluded"]), top)))
-        .when(body.rlike(_driving_rule()), no(why["driving"]))
-        .when(F.contains(title, F.lit(fixed.INSURANCE_TITLE)) & ~text.contains_any(body, fixed.INSURANCE_WORDS), no(why["insurance"]))
-        .when(F.contains(body, F.lit("about: blank")) & (F.length(text.strip(body)) < 100), no(why["noise"]))
-        .when(category.isin(core), out(True, F.coalesce(topic, default_topic(category)), F.lit(0.95), F.lit(why["core"])))
-        .when((hits > 0) & (score >= min_score), out(True, topic, score, F.lit(why["topic"])))
-        .otherwise(no(why["none"]))
-    )
+
+    def judge(best: Column) -> Column:
+        topic, hits = best["topic"], best["hits"]
+        score = F.round(F.least(F.lit(1.0), 0.5 + hits * 0.1), 2)
+        return (
+            F.when(text.contains_any(title, excluded), no(F.concat(F.lit(why["excluded"]), top)))
+            .when(body.rlike(_driving_rule()), no(why["driving"]))
+            .when(F.contains(title, F.lit(fixed.INSURANCE_TITLE)) & ~text.contains_any(body, fixed.INSURANCE_WORDS), no(why["insurance"]))
+            .when(F.contains(body, F.lit("about: blank")) & (F.length(text.strip(body)) < 100), no(why["noise"]))
+            .when(category.isin(core), out(True, F.coalesce(topic, default_topic(category)), F.lit(0.95), F.lit(why["core"])))
+            .when((hits > 0) & (score >= min_score), out(True, topic, score, F.lit(why["topic"])))
+            .otherwise(no(why["none"]))
+        )
+
+    def counted(found: Column) -> Column:
+        """The best topic, told from the counts once."""
+        hits = topic_hits(found, topics)
+        return text.bind(F.struct(*(n.alias(f"n{i}") for i, n in enumerate(hits.values()))), lambda n: named({t: n[f"n{i}"] for i, t in enumerate(hits)}))
+
+    def named(hits: dict[str, Column]) -> Column:
+        topic, most = best_topic(hits)
+        return text.bind(F.struct(topic.alias("topic"), most.alias("hits")), judge)
+
+    return text.bind(topic_keywords(body, topics), counted)
 
 
 def document_verdict(title: Column, source_id: Column, category: Column, core: list[str] = fixed.CORE_CATEGORIES, excluded: list[str] = fixed.EXCLUDED_TITLES) -> Column:

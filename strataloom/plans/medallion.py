@@ -75,10 +75,10 @@ def silver_documents(flagged: DataFrame, config: Config = Config()) -> DataFrame
 
 
 def silver_chunks(documents: DataFrame, config: Config = Config()) -> DataFrame:
-    """Chunks of silver documents with their category, type, address and ``ord`` (document, then index)."""
-    c = chunking.chunks(documents, "doc_id", "content_clean_markdown", config.chunk_size, config.chunk_overlap, config.min_chunk_length)
-    of = documents.select("doc_id", "category", "source_type", "url", F.col("ord").alias("_doc"))
-    return c.join(of, "doc_id").withColumn("ord", F.col("_doc") * 1_000_000 + F.col("chunk_index")).drop("_doc")
+    """Chunks of silver documents with their category, type, address and ``ord`` (of the document, then index)."""
+    d = documents.withColumnRenamed("ord", "_doc")
+    c = chunking.chunks(d, "doc_id", "content_clean_markdown", config.chunk_size, config.chunk_overlap, config.min_chunk_length, keep=("category", "source_type", "url", "_doc"))
+    return c.withColumn("ord", F.struct(F.col("_doc").alias("doc"), F.col("chunk_index").alias("index"))).drop("_doc")
 
 
 def verdicts(chunks: DataFrame, config: Config = Config()) -> DataFrame:

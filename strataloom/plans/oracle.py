@@ -148,16 +148,48 @@ def greedy(threshold: float) -> str:
 
 SHINGLED = f"WITH sets AS (SELECT item, topic, {shingle_list('text')} AS l FROM ({ITEMS})), sh AS (SELECT item, topic, len(l) AS n, unnest(l) AS s FROM sets WHERE len(l) >= 5)"
 def section_sql(docs: str) -> str:
+    """Headings outside fences, by windows over the lines."""
+    t, levels = strip("line"), range(1, 7)
+    legal = f"regexp_matches(t, {lit('(?i)' + fixed.LEGAL_HEADING)}) AND length(t) < 80"
+    level = f"CASE WHEN t LIKE '```%' OR coalesce(inside, 0) % 2 = 1 THEN NULL WHEN regexp_matches(t, '^#{{1,6}}\\s+.+$') THEN length(regexp_extract(t, '^(#+)', 1)) WHEN {legal} THEN CASE WHEN lower(t) LIKE 'chương%' THEN 2 ELSE 3 END END"
+    title = f"CASE WHEN t LIKE '#%' THEN {strip(replace_all('t', '^#{1,6}' + chr(92) + 's+', ''))} ELSE t END"
+    path = ", ".join(f"CASE WHEN p{k} > greatest(-1{''.join(f', coalesce(p{j}, -1)' for j in range(1, k))}) THEN h{k} END" for k in levels)
+    last = ", ".join(f"last_value(CASE WHEN level = {k} THEN pos END IGNORE NULLS) OVER w AS p{k}, last_value(CASE WHEN level = {k} THEN title END IGNORE NULLS) OVER w AS h{k}" for k in levels)
     return f"""
   WITH lines AS (SELECT doc_id, unnest(string_split(markdown, chr(10))) AS line, generate_subscripts(string_split(markdown, chr(10)), 1) - 1 AS pos FROM ({docs})),
-  heads AS (SELECT *, CASE WHEN regexp_matches({strip('line')}, '^#{{1,6}}\\s+.+$') THEN length(regexp_extract({strip('line')}, '^(#+)', 1)) END AS level, {strip(replace_all(strip('line'), '^#{1,6}' + chr(92) + 's+', ''))} AS title FROM lines),
-  marked AS (SELECT *, sum((level IS NOT NULL)::INTEGER) OVER w AS section, {', '.join(f"last_value(CASE WHEN level = {k} THEN pos END IGNORE NULLS) OVER w AS p{k}, last_value(CASE WHEN level = {k} THEN title END IGNORE NULLS) OVER w AS h{k}" for k in (1, 2, 3))}
-    FROM heads WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
-  grouped AS (SELECT doc_id, section, any_value(concat_ws(' > ', CASE WHEN p1 IS NOT NULL THEN h1 END, CASE WHEN p2 > coalesce(p1, -1) THEN h2 END, CASE WHEN p3 > greatest(coalesce(p1, -1), coalesce(p2, -1)) THEN h3 END)) AS path,
+  fenced AS (SELECT *, sum((t LIKE '```%')::INTEGER) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS inside FROM (SELECT *, {t} AS t FROM lines)),
+  heads AS (SELECT *, {level} AS level, {title} AS title FROM fenced),
+  marked AS (SELECT *, (sum((level IS NOT NULL)::INTEGER) OVER w)::INTEGER AS section, {last} FROM heads WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+  grouped AS (SELECT doc_id, section, any_value(concat_ws(' > ', {path})) AS path,
     {strip("string_agg(line, chr(10) ORDER BY pos)")} AS body FROM marked WHERE level IS NULL GROUP BY 1, 2)
   SELECT doc_id, section, path, body FROM grouped WHERE body <> ''"""
 
 
+def chunk_sql(docs: str, size: int = 512, overlap: int = 80, least: int = 40) -> str:
+    """Sections packed sentence by sentence; a row a step: (section, step, sentences held, their length, piece that is full)."""
+    whole = f"length(body) <= {size} OR len(list_filter(string_split(body, chr(10)), lambda l: {strip('l')} LIKE '|%')) > 0"
+    x, n = "l.s[p.i + 1]", "len(p.cur)"
+    sums = lambda j: f"coalesce(list_sum(list_transform(p.cur[{n} - {j} + 1:], lambda y: length(y))), 0)"
+    full = f"(p.n + length({x}) > {size} AND {n} > 0)"
+    piece = strip("array_to_string(cur, ' ')")
+    return f"""
+  WITH RECURSIVE secs AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY doc_id, section) AS sid, {whole} AS whole FROM ({section_sql(docs)})),
+  lists AS MATERIALIZED (SELECT doc_id AS sid, list(sentence ORDER BY nth) AS s FROM ({sentence_sql("(SELECT sid AS doc_id, body AS text FROM secs WHERE NOT whole)")}) GROUP BY doc_id),
+  packed AS (
+    SELECT sid, 0 AS i, []::VARCHAR[] AS cur, 0::BIGINT AS n, NULL::VARCHAR AS piece FROM lists
+    UNION ALL
+    SELECT sid, i + 1, CASE WHEN is_full THEN list_append(cur[len(cur) - k + 1:], x) ELSE list_append(cur, x) END, CASE WHEN is_full THEN tail ELSE n END + length(x), CASE WHEN is_full THEN {piece} END
+    FROM (SELECT p.sid, p.i, p.cur, p.n, {x} AS x, {full} AS is_full, k, {sums('k')} AS tail
+      FROM (SELECT *, len(list_filter(range(1, {n} + 1), lambda j: {sums('j')} <= {overlap})) AS k FROM packed p) p JOIN lists l USING (sid) WHERE p.i < len(l.s))),
+  pieces AS (
+    SELECT sid, 0 AS i, body AS piece FROM secs WHERE whole
+    UNION ALL SELECT sid, i, piece FROM packed WHERE piece IS NOT NULL
+    UNION ALL SELECT sid, i + 1, {piece} FROM packed p JOIN lists l USING (sid) WHERE p.i = len(l.s)),
+  numbered AS (SELECT doc_id, path, row_number() OVER (PARTITION BY doc_id ORDER BY section, i) - 1 AS chunk_index, CASE WHEN path <> '' THEN '[' || path || ']' || chr(10) ELSE '' END || piece AS content
+    FROM pieces JOIN secs USING (sid) WHERE length(piece) >= {least})
+  SELECT doc_id || '_' || chunk_index AS chunk_id, doc_id, chunk_index::INTEGER AS chunk_index, path AS heading_context, {n_words('content')} AS token_estimate, length(content)::INTEGER AS char_count, md5(content) AS digest FROM numbered"""
+
+
 FORWARD = "SELECT conv_id, turn, role, text, coalesce(last_value(CASE WHEN role = 'user' THEN coalesce(text, '') END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING), 'none') AS question FROM conversations"
 
 
@@ -168,7 +200,7 @@ def page_lines(x: str) -> str:
     return f"list_filter(list_transform(list_transform(string_split({x}, chr(10)), lambda l: {shaped}), lambda y: {head}), lambda z: z <> '')"
 
 
-def sentence_sql() -> str:
+def sentence_sql(docs: str = "documents") -> str:
     """Ends of sentences are marked with chr(1), marks after honorifics taken away again."""
     edge, one = r"(^|[^\p{L}\p{N}_./])", "|".join(fixed.HONORIFICS)
     more = "|".join(h.replace(".", r"\.") for h in fixed.HONORIFICS_DOTTED)
@@ -180,7 +212,7 @@ def sentence_sql() -> str:
     paragraphs = f"list_filter(list_transform(string_split(text, chr(10)), lambda l: {strip('l')}), lambda l: l <> '')"
     return f"""
     SELECT doc_id, generate_subscripts(l, 1)::INTEGER - 1 AS nth, unnest(l) AS sentence FROM (
-      SELECT doc_id, flatten(list_transform({paragraphs}, lambda p: CASE WHEN {unit} THEN [p] ELSE {parts} END)) AS l FROM documents)"""
+      SELECT doc_id, flatten(list_transform({paragraphs}, lambda p: CASE WHEN {unit} THEN [p] ELSE {parts} END)) AS l FROM {docs})"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -209,6 +241,11 @@ def oracle_sql() -> dict[str, str]:
       round(avg(quality_score) FILTER (NOT low_quality AND nth = 1), 3) AS average_quality FROM f"""
     out["source_histogram"] = "SELECT coalesce(nullif(source, ''), 'general') AS category, count(*) AS n FROM documents GROUP BY 1"
     out["heading_sections"] = section_sql(HEADED)
+    out["silver_chunks"] = chunk_sql(HEADED)
+    body = "coalesce(text, '')"
+    fenced = f"""SELECT doc_id, replace('# A~| x | y |~|---|---|~' || repeat('| 1 | 2 |~', (doc_id % 50 + 1)::BIGINT) || '## B~```py~# hidden~Điều 1. hidden~', '~', chr(10)) || {body} || replace('~```~  Chương I Chung~', '~', chr(10)) || {body} ||
+      chr(10) || 'điều 2. Phạm vi' || chr(10) || {body} || ' end' || chr(10) || '##### Deep' || chr(10) || {body} || replace('~# Last~```~# open to the end', '~', chr(10)) AS markdown FROM documents"""
+    out["table_and_fence"] = f"SELECT doc_id, section, path, length(body)::INTEGER AS n_chars, md5(body) AS digest FROM ({section_sql(fenced)})"
     titled = "SELECT doc_id, '# ' || source || chr(10) || coalesce(text, '') AS markdown FROM documents"
     out["chunk_sizes"] = f"""
     SELECT doc_id || '_' || nth AS chunk_id, path AS heading_context, content, {n_words('content')} AS token_estimate, length(content)::INTEGER AS char_count FROM (
@@ -218,8 +255,8 @@ def oracle_sql() -> dict[str, str]:
     out["topic_hits"] = f"SELECT doc_id, {', '.join(f'{v} AS {k}' for k, v in h.items())}, CASE {' '.join(f'WHEN {v} = {most} AND {most} > 0 THEN {lit(k)}' for k, v in h.items())} END AS best, {most} AS most FROM documents"
     out["gold_cascade"] = judged()
     out["gold_drop_reasons_top10"] = f"SELECT reason, n FROM (SELECT reason, count(*) AS n, min(doc_id) AS first FROM ({judged()}) WHERE NOT admitted GROUP BY reason ORDER BY n DESC, first LIMIT 10)"
-    rows = ", ".join(f"({n}::BIGINT, {lit(c)}, {lit(category)})" for n, (_, c, category) in enumerate(taxonomy_rows()))
-    made = f"SELECT n AS doc_id, category, lower(content) AS body, '' AS top FROM (VALUES {rows}) v(n, content, category)"
+    rows = "[" + ", ".join(f"[{lit(words)}, {lit(category)}]" for words, category in taxonomy_rows()) + "]"
+    made = f"SELECT doc_id, rows[k][2] AS category, lower(coalesce(text, '') || ' ' || rows[k][1]) AS body, '' AS top FROM (SELECT doc_id, text, {rows} AS rows, doc_id % {len(taxonomy_rows())} + 1 AS k FROM documents)"
     out["real_taxonomy"] = f"SELECT doc_id AS ord, admitted, topic, consultation_score, reason FROM ({judged(made, fixed.TOPICS, fixed.CORE_CATEGORIES)})"
     out["gold_report"] = f"SELECT count(*) AS total, count(*) FILTER (admitted) AS admitted, round((count(*) FILTER (admitted))::DOUBLE * 100.0 / count(*), 2) AS retention FROM ({judged()})"
     titles = "CASE WHEN doc_id % 13 = 0 THEN source || ' Cho vay' ELSE source END"
@@ -274,12 +311,15 @@ def oracle_sql() -> dict[str, str]:
       {fixed.INSURANCE_FEE}::BIGINT AS mandatory_insurance_vnd, price + plate + {fixed.INSPECTION_FEE + fixed.ROAD_FEE + fixed.INSURANCE_FEE} AS total_rolling_cost_vnd
     FROM (SELECT *, CASE WHEN p_size > 5 THEN floor(p_retailprice * 1000)::BIGINT ELSE 0 END AS price FROM part), (VALUES {provinces}) v(province_name, plate) WHERE price > 0"""
     out["deposit_tier"] = "SELECT o_orderkey, price, CASE WHEN price > 1000000000 THEN 50000000 ELSE 15000000 END::BIGINT AS deposit FROM (SELECT o_orderkey, floor(o_totalprice * 5000)::BIGINT AS price FROM orders)"
-    out["price_falsy_chain"] = "SELECT k, coalesce(try_cast(coalesce(nullif(nullif(p, ''), '0'), nullif(nullif(b, ''), '0'), '0') AS DOUBLE), 0) // 1 ::BIGINT AS price_vnd FROM (VALUES (1, '100', NULL), (2, '0', '7.9'), (3, NULL, 'abc'), (4, '', '0'), (5, 'x', '5'), (6, '1.5e3', NULL), (7, NULL, NULL)) v(k, p, b)".replace("// 1 ::BIGINT", "").replace("SELECT k, coalesce(try_cast(", "SELECT k, floor(coalesce(try_cast(").replace("0)  AS price_vnd", "0))::BIGINT AS price_vnd")
+    retail = "p_retailprice::DECIMAL(12,2)::VARCHAR"
+    texts = f"CASE p_size % 5 WHEN 0 THEN '0' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN p_name ELSE {retail} END AS p, CASE p_size % 3 WHEN 0 THEN NULL WHEN 1 THEN {retail} ELSE p_size || 'e3' END AS b"
+    out["price_falsy_chain"] = f"SELECT p_partkey, floor(coalesce(try_cast(coalesce(nullif(nullif(p, ''), '0'), nullif(nullif(b, ''), '0'), '0') AS DOUBLE), 0))::BIGINT AS price_vnd FROM (SELECT p_partkey, {texts} FROM part)"
     out["label_left_zero"] = "SELECT l AS lang, count(lang) AS n FROM (VALUES ('en'), ('fr'), ('de'), ('es'), ('vi')) v(l) LEFT JOIN documents ON lang = l GROUP BY l"
     out["union_sources_ordered"] = "SELECT r AS source_rank, count(*) AS n, min(id) AS first, max(id) AS last FROM (SELECT 0 AS r, doc_id AS id FROM documents UNION ALL SELECT 1, page_id FROM pages UNION ALL SELECT 2, conv_id FROM conversations) GROUP BY r"
     out["head_n"] = "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 2"
     out["json_nav_explode"] = "SELECT event_id, json_extract_string(props, '$.k') AS k, coalesce(length(props), 0)::INTEGER AS n_chars FROM events"
-    out["json_map_lookup"] = "SELECT * FROM (VALUES ('m1', 'a', 'A', 5::BIGINT), ('m1', 'b', 'b', 7), ('m1', 'z', 'z', 0)) v(model, edition, label, price)"
+    part = "SELECT p_partkey, coalesce(p_brand, '') AS brand, coalesce(p_type, '') AS type, coalesce(p_name, '') AS name, p_size AS size FROM part"
+    out["json_map_lookup"] = f"SELECT p_partkey, brand AS model, unnest([type, 'small one', 'none']) AS edition, unnest([name, 'small one', 'none']) AS label, unnest([size, 7, 0])::BIGINT AS price FROM ({part})"
     out["lineitem_by_flag"] = "SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem GROUP BY 1, 2"
     out["semi_and_anti"] = "SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000) THEN 'with' ELSE 'without' END AS kind FROM customer"
     out["running_window"] = "SELECT event_id, (row_number() OVER w)::INTEGER AS nth, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 4) AS running FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"

@@ -148,20 +148,22 @@ def source_histogram(spark, sf_dir):
 
 @_query
 def heading_sections(spark, sf_dir):
-    return chunking.sections(headed(spark, sf_dir)).select("doc_id", "section", F.array_join("heading_path", " > ").alias("path"), F.col("text").alias("body"))
+    return chunking.sections(medallion.spread(headed(spark, sf_dir))).select("doc_id", "section", F.array_join("heading_path", " > ").alias("path"), F.col("text").alias("body"))
 
 
 @_query
 def table_and_fence(spark, sf_dir):
-    """A table stays whole, a fence hides headings, laws give headings."""
-    rows = [(1, "# A\n| x | y |\n|---|---|\n" + "| 1 | 2 |\n" * 40), (2, "# A\n```\n# not a heading\n```\n" + "Câu dài một hai ba bốn năm sáu bảy tám. " * 3), (3, "Chương I Chung\nlời mở đầu của chương này đủ dài để thành đoạn\nĐiều 2. Phạm vi\nnội dung của điều này cũng đủ dài để thành đoạn\n# Khác\nphần cuối của văn bản này đủ dài để giữ")]
-    c = chunking.chunks(spark.createDataFrame(rows, "doc_id long, markdown string"), size=300)
-    return c.select("chunk_id", "heading_context", "char_count", F.md5("content").alias("digest"))
+    """Tables stay whole, fences hide headings, laws give headings, around whole texts."""
+    d = table(spark, sf_dir, "documents")
+    body = F.coalesce("text", F.lit(""))
+    grid = F.concat(F.lit("| x | y |\n|---|---|\n"), F.repeat(F.lit("| 1 | 2 |\n"), (F.pmod("doc_id", F.lit(50)) + 1).cast("int")))
+    d = d.select("doc_id", F.concat(F.lit("# A\n"), grid, F.lit("## B\n```py\n# hidden\nĐiều 1. hidden\n"), body, F.lit("\n```\n  Chương I Chung\n"), body, F.lit("\nđiều 2. Phạm vi\n"), body, F.lit(" end\n##### Deep\n"), body, F.lit("\n# Last\n```\n# open to the end")).alias("markdown"))
+    return chunking.sections(medallion.spread(d)).select("doc_id", "section", F.array_join("heading_path", " > ").alias("path"), F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
 
 
 @_query
 def silver_chunks(spark, sf_dir):
-    c = chunking.chunks(headed(spark, sf_dir))
+    c = chunking.chunks(medallion.spread(headed(spark, sf_dir)))
     return c.select("chunk_id", "doc_id", "chunk_index", "heading_context", "token_estimate", "char_count", F.md5("content").alias("digest"))
 
 
@@ -169,22 +171,19 @@ def silver_chunks(spark, sf_dir):
 def chunk_sizes(spark, sf_dir):
     """Whole texts with all their lines and headings, in sections that all fit: chunks that SQL can tell too."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("# "), "source", F.lit("\n"), F.coalesce(F.col("text"), F.lit(""))).alias("markdown"))
-    c = chunking.chunks(d, size=1_000_000)
+    c = chunking.chunks(medallion.spread(d), size=1_000_000)
     return c.select("chunk_id", "heading_context", "content", "token_estimate", "char_count")
 
 
-chunk_sizes_whole = chunk_sizes
-
-
 # --- classification
 
 
 @_query
 def topic_hits(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    hits = classify.topic_hits(F.lower("text"), TOPICS)
-    topic, most = classify.best_topic(hits)
-    return d.select("doc_id", *(n.alias(t) for t, n in hits.items()), topic.alias("best"), most.alias("most"))
+    d = table(spark, sf_dir, "documents").select("doc_id", classify.topic_keywords(F.lower("text"), TOPICS).alias("found"))
+    d = d.select("doc_id", *(n.alias(t) for t, n in classify.topic_hits(F.col("found"), TOPICS).items()))
+    topic, most = classify.best_topic({t: F.col(t) for t in TOPICS})
+    return d.select("doc_id", *TOPICS, topic.alias("best"), most.alias("most"))
 
 
 def _judged(spark, sf_dir) -> DataFrame:
@@ -211,17 +210,19 @@ def gold_report(spark, sf_dir):
     return j.agg(F.count("*").alias("total"), F.count_if("admitted").alias("admitted"), report.share(F.count_if("admitted"), F.count("*")).alias("retention"))
 
 
-def taxonomy_rows() -> list[tuple]:
-    rows = [(i, w + " " + v, t) for i, (t, ws) in enumerate(fixed.TOPICS.items()) for w, v in [(ws[0], ws[-1]), (ws[1], "khác")]]
-    rows += [(90, "Điều 8. Nhường đường cho xe", "luat"), (91, "about: blank", "x"), (92, "không liên quan", "faq")]
-    return rows
+def taxonomy_rows() -> list[tuple[str, str]]:
+    """(words, category) that are dealt out to documents."""
+    rows = [(words[i % len(words)] + " " + words[-1 - i], topic) for topic, words in fixed.TOPICS.items() for i in range(5)]
+    return [*rows, ("Điều 8. Nhường đường cho xe", "luat"), ("không liên quan", "x"), ("không liên quan", "faq"), ("không liên quan", "thu_tuc_phap_ly")]
 
 
 @_query
 def real_taxonomy(spark, sf_dir):
-    """The shipped rule tables on texts made of their own words."""
+    """The shipped rule tables over whole texts, each with some of their own words at its end."""
     rows = taxonomy_rows()
-    d = spark.createDataFrame([(k, c, [], cat, n) for n, (k, c, cat) in enumerate(rows)], "k long, content string, heading_path array<string>, category string, ord long")
+    at = (F.pmod("doc_id", F.lit(len(rows))) + 1).cast("int")
+    dealt = lambda i: F.element_at(F.array(*(F.lit(r[i]) for r in rows)), at)
+    d = medallion.spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("ord"), F.concat(F.coalesce("text", F.lit("")), F.lit(" "), dealt(0)).alias("content"), F.array().cast("array<string>").alias("heading_path"), dealt(1).alias("category"))
     return medallion.verdicts(d).select("ord", "admitted", "topic", "consultation_score", "reason")
 
 
@@ -426,8 +427,12 @@ def deposit_tier(spark, sf_dir):
 
 @_query
 def price_falsy_chain(spark, sf_dir):
-    v = spark.createDataFrame([(1, "100", None), (2, "0", "7.9"), (3, None, "abc"), (4, "", "0"), (5, "x", "5"), (6, "1.5e3", None), (7, None, None)], "k int, price string, base string")
-    return v.select("k", relational.price(F.col("price"), F.col("base")).alias("price_vnd"))
+    """Prices as text, missing, zero, broken or whole, from the part's columns."""
+    p = table(spark, sf_dir, "part")
+    size, retail = F.col("p_size"), F.col("p_retailprice").cast("decimal(12,2)").cast("string")
+    value = F.when(size % 5 == 0, "0").when(size % 5 == 1, "").when(size % 5 == 2, F.lit(None)).when(size % 5 == 3, F.col("p_name")).otherwise(retail)
+    base = F.when(size % 3 == 0, F.lit(None)).when(size % 3 == 1, retail).otherwise(F.concat(size.cast("string"), F.lit("e3")))
+    return p.select("p_partkey", relational.price(value, base).alias("price_vnd"))
 
 
 @_query
@@ -459,12 +464,13 @@ def json_nav_explode(spark, sf_dir):
 
 @_query
 def json_map_lookup(spark, sf_dir):
-    """Editions of a model looked up by name: keys are data."""
-    doc = '{"m1":{"listEdition":["a","b","z"],"a":{"label":"A","priceValue":5},"b":{"priceValue":7}},"m2":{"listEdition":[]}}'
-    d = spark.createDataFrame([(doc,)], "j string").select(F.explode(F.try_variant_get(F.parse_json("j"), "$", "map<string,variant>")).alias("model", "x"))
+    """Editions of a model looked up by name: keys are data. A document a part, of its columns."""
+    p = table(spark, sf_dir, "part").select("p_partkey", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("p_brand", "p_type", "p_name", "p_size")))
+    doc = F.format_string('{"%s":{"listEdition":["%s","small one","none"],"%s":{"label":"%s","priceValue":%s},"small one":{"priceValue":7}},"empty":{"listEdition":[]}}', "p_brand", "p_type", "p_type", "p_name", "p_size")
+    d = p.select("p_partkey", F.explode(F.try_variant_get(F.try_parse_json(doc), "$", "map<string,variant>")).alias("model", "x"))
     d = d.withColumn("m", F.try_variant_get("x", "$", "map<string,variant>")).withColumn("edition", F.explode(F.try_variant_get("x", "$.listEdition", "array<string>")))
     y = F.try_element_at("m", F.col("edition"))
-    return d.select("model", "edition", F.coalesce(F.try_variant_get(y, "$.label", "string"), F.col("edition")).alias("label"), F.coalesce(F.try_variant_get(y, "$.priceValue", "bigint"), F.lit(0)).alias("price"))
+    return d.select("p_partkey", "model", "edition", F.coalesce(F.try_variant_get(y, "$.label", "string"), F.col("edition")).alias("label"), F.coalesce(F.try_variant_get(y, "$.priceValue", "bigint"), F.lit(0)).alias("price"))
 
 
 @_query

@@ -25,6 +25,71 @@ def test_chunk_context_and_table(spark):
     assert len(rows) == 2 and rows["d"].heading_context == "A > B" and rows["d"].content.startswith("[A > B]\n")
 
 
+def plain_sections(markdown):
+    """Line by line: a stack of headings, a fence, an open block."""
+    import re
+
+    out, stack, block, fenced, n = [], [], [], False, 0
+
+    def end():
+        if (t := "\n".join(block).strip()):
+            out.append((n, [h for _, h in stack], t))
+        block.clear()
+
+    for line in markdown.split("\n"):
+        t = line.strip()
+        if t.startswith("```") or fenced:
+            fenced ^= t.startswith("```")
+            block.append(line)
+            continue
+        m = re.match(r"^(#{1,6})\s+(.+)$", t)
+        legal = not m and len(t) < 80 and re.match(r"^(Chương\s+[IVXLCDM\d]+.*|Điều\s+\d+.*|Mục\s+\d+.*)$", t, re.I)
+        if not m and not legal:
+            block.append(line)
+            continue
+        end()
+        n += 1
+        level, title = (len(m[1]), m[2].strip()) if m else (2 if t.lower().startswith("chương") else 3, t)
+        stack[:] = [h for h in stack if h[0] < level] + [(level, title)]
+    end()
+    return out
+
+
+def test_sections_equal_a_loop(spark):
+    rng = random.Random(9)
+    lines = ["# A", "## B  c", "### ", "####### seven", "#none", "###### Six #", "```", "  ```py", "text", "", "  more text ", "Chương IV Chung", "điều 12. Phạm vi", "Điều x", "Mục 3" + " dài" * 30, "  Mục 2\tb", "\x01\x03 odd \x01", "| a | b |", "\u3000# wide", "a # b", "text ```"]
+    texts = ["\n".join(rng.choices(lines, k=rng.randint(0, 25))) for _ in range(400)] + ["```\n" + "x\n" * 30_000 + "# in\n```\n# out\ny", "\n".join(f"{'#' * (i % 6 + 1)} h{i}\nbody {i}" for i in range(3000)), "x" * 300_000]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {}
+    for r in chunking.sections(spark.createDataFrame([*rows, (-1, None)], "doc_id long, markdown string").repartition(4)).collect():
+        got.setdefault(r.doc_id, []).append((r.section, list(r.heading_path), r.text))
+    assert got == {i: s for i, t in rows if (s := plain_sections(t))}
+
+
+def test_documents_of_one_name_are_chunked_apart_and_nothing_is_shuffled(spark, tmp_path):
+    long = "câu này đủ dài để thành một đoạn văn bản hoàn chỉnh. " * 3
+    rows = [("d", f"# A\n{long}", 1), ("d", f"# B\n{long}", 2), (None, f"# C\n{long}", 3), (None, f"{long}\n# D\n{long}", 4)]
+    spark.createDataFrame(rows, "doc_id string, markdown string, ord int").write.parquet(str(tmp_path / "docs"))
+    out = chunking.chunks(spark.read.parquet(str(tmp_path / "docs")), size=1000, keep=("ord",))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.ord, r.chunk_index, r.heading_context, str(r.doc_id)) for r in out.collect())
+    assert got == [(1, 0, "A", "d"), (2, 0, "B", "d"), (3, 0, "C", "None"), (4, 0, "", "None"), (4, 1, "D", "None")]
+
+
+def test_found_keywords_equal_contains(spark):
+    from strataloom.functions import fixed
+    from strataloom.functions import text as T
+
+    rng = random.Random(4)
+    for words in ([w for ws in fixed.TOPICS.values() for w in ws], ["ab", "abc", "b", "bca", "$$$", "|", "a|b", "(?", "ab", "x.y", "😀", "😀😀"]):
+        bits = [*words, *"abcxy.$|(?", "😀", " "]
+        texts = ["".join(rng.choices(bits, k=rng.randint(0, 8))) for _ in range(300)] + [None, "", "a" * 100_000 + words[0]]
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+        got = {r.i: r.f for r in df.select("i", T.found_keywords(F.col("t"), words).alias("f")).collect()}
+        assert got == {i: None if t is None else [k for k, w in enumerate(words) if w in t] for i, t in enumerate(texts)}
+    assert df.select(T.found_keywords(F.col("t"), []).alias("f")).first().f == []
+
+
 def python_pack(sentences, size, overlap, least):
     out, cur, n = [], [], 0
 
@@ -176,7 +241,7 @@ def test_stream(spark, tmp_path):
 
 
 def test_chunk_sizes_of_whole_texts_equal_brute_force(spark, tmp_path):
-    from strataloom.plans.queries import chunk_sizes_whole
+    from strataloom.plans.queries import chunk_sizes as chunk_sizes_whole
 
     tail = "what comes after the second full stop is kept as well, to the last word"
     docs = [(1, "s", f"one. two. three. {tail}."), (2, "t", f"a line. b. c.\nsecond line of it. {tail}\n## Part\nd. e. f. {tail}\n### Deep\ntoo short\n## Next\n{tail} g. h."), (3, "u", None), (4, "v", "short. one. here")]
