@@ -6,6 +6,8 @@ patterns the same. Lengths are in code points.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -194,37 +196,40 @@ def contains_any(c: Column, keywords: list[str]) -> Column:
     return out
 
 
-def _longest(keywords: list[str]) -> str:
-    """A pattern for the longest of the keywords that begins at a place: their trie, children before ends, so
-    that of each first character one branch is followed."""
-    trie: dict = {}
-    for k in keywords:
-        node = trie
-        for c in k:
-            node = node.setdefault(c, {})
-        node[""] = {}
-
-    def show(node: dict) -> str:
-        branches = [(c if c.isalnum() else f"\\x{{{ord(c):x}}}") + show(below) for c, below in node.items() if c]
-        if not branches:
-            return ""
-        inner = branches[0] if len(branches) == 1 and "" not in node else f"(?:{'|'.join(branches)})"
-        return inner + ("?" if "" in node else "")
+@lru_cache(maxsize=16)
+def _automaton(keywords: tuple[str, ...]):
+    """An Aho-Corasick automaton, one a worker process; a keyword's value is its places."""
+    import ahocorasick
 
-    return show(trie)
+    places: dict[str, list[int]] = {}
+    for i, k in enumerate(keywords):
+        places.setdefault(k, []).append(i)
+    out = ahocorasick.Automaton()
+    for k, at in places.items():
+        out.add_word(k, tuple(at))
+    out.make_automaton()
+    return out
 
 
 def found_keywords(c: Column, keywords: list[str]) -> Column:
     """Places in ``keywords`` (none of them empty) of those that the text holds anywhere, each once, ascending.
 
-    One pass over the text, whatever their number: at each place the longest keyword that begins there is found, and with it
-    those with which it begins itself. Keywords may overlap, and may be stated twice."""
-    if not keywords:
+    One pass of an automaton over the text, whatever the number of keywords; they may overlap, and may be stated twice."""
+    words = tuple(keywords)
+    if not words:
         return F.when(c.isNotNull(), F.array().cast("array<int>"))
-    begun = {k: [i for i, x in enumerate(keywords) if k.startswith(x)] for k in keywords}
-    table = F.create_map(*(x for k, places in begun.items() for x in (F.lit(k), F.array(*map(F.lit, places)))))
-    seen = F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?=({_longest(keywords)}))"), F.lit(1)))
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(seen, lambda k: F.element_at(table, k)))))
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def places(texts: pd.Series) -> pd.Series:
+        found = _automaton(words)
+
+        def of(t: str) -> list[int]:
+            seen: set[tuple[int, ...]] = {at for _, at in found.iter(t)}
+            return sorted(i for at in seen for i in at)
+
+        return texts.map(lambda t: None if t is None else of(t))
+
+    return places(c)
 
 
 def host(url: Column) -> Column:

@@ -180,14 +180,14 @@ def chunk_sizes(spark, sf_dir):
 
 @_query
 def topic_hits(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", classify.topic_keywords(F.lower("text"), TOPICS).alias("found"))
+    d = medallion.spread(table(spark, sf_dir, "documents")).select("doc_id", classify.topic_keywords(F.lower("text"), TOPICS).alias("found"))
     d = d.select("doc_id", *(n.alias(t) for t, n in classify.topic_hits(F.col("found"), TOPICS).items()))
     topic, most = classify.best_topic({t: F.col(t) for t in TOPICS})
     return d.select("doc_id", *TOPICS, topic.alias("best"), most.alias("most"))
 
 
 def _judged(spark, sf_dir) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = medallion.spread(table(spark, sf_dir, "documents"))
     titles = F.element_at(F.array(F.lit("Nghi Dinh 100 2019 ND-CP"), F.lit("Nghi Dinh 67 2023"), F.lit("Tin")), (F.pmod("doc_id", F.lit(11)) % 3 + 1).cast("int"))
     extra = F.when(F.pmod("doc_id", F.lit(7)) == 0, " Điều 5. Vượt xe trên đường").when(F.pmod("doc_id", F.lit(5)) == 0, " mức phí").otherwise("")
     d = d.select("doc_id", F.concat(F.coalesce("text", F.lit("")), extra).alias("content"), F.array(titles).alias("heading_path"), F.col("source").alias("category"), F.col("doc_id").alias("ord"))
