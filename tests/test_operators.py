@@ -157,6 +157,32 @@ def test_greedy_equals_a_loop(spark):
     assert got == into and into
 
 
+@pytest.mark.parametrize("bound", [1_000_000, 3_000, 40])
+def test_greedy_of_long_chains_and_of_every_size(spark, bound):
+    """Paths of 10,000 edges (as one, and as pieces that each fit), trees, hubs and random graphs, by struct items too."""
+    rng = random.Random(bound)
+    cut = 10_001 if bound > 10_000 else 2_500
+    edges = {(i, i + 1) for i in range(10_000) if (i + 1) % cut} if bound > 40 else set()
+    edges |= {(20_000 + rng.randrange(i), 20_000 + i) for i in range(1, 60)} | {(30_000, 30_000 + i) for i in range(1, 50)}
+    edges |= {tuple(sorted(rng.sample(range(40_000, 40_080), 2))) for _ in range(200 if bound != 3_000 else 3_100)}
+    edges = sorted(edges)
+    earlier, gone, want = {}, set(), {}
+    for a, b in edges:
+        earlier.setdefault(b, []).append(a)
+    for b in sorted(earlier):
+        kept = [a for a in earlier[b] if a not in gone]
+        if kept:
+            gone.add(b)
+            want[b] = min(kept)
+    df = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    assert {r.item: r["into"] for r in dedup.greedy_keep(df, bound=bound).collect()} == want
+    if bound == 3_000:
+        twin = lambda c: F.struct(F.floor(F.col(c) / 100).alias("doc"), (F.col(c) % 100).alias("index")).alias(c)
+        got = dedup.greedy_keep(df.select(twin("a"), twin("b")), bound=1_000_000).collect()
+        assert {r.item.doc * 100 + r.item["index"]: r["into"].doc * 100 + r["into"]["index"] for r in got} == want
+    assert dedup.greedy_keep(df.limit(0)).count() == 0
+
+
 def test_faq(spark):
     page = '<h2 class="cat-name">Pin</h2><h3 class="child-name x">Thuê</h3><div class="post"><h2 class="post-title">Hỏi <b>A1</b>?</h2><div class="post-content"><p>Đáp <b>một</b></p></div></div><div class="post"><h2 class="post-title">Không đáp</h2></div>'
     first = '<div class="post"><h2 class="post-title">Đầu</h2><div class="post-content">x</div></div>'
