@@ -13,15 +13,15 @@ from ..functions import fixed
 
 
 def snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """One row: v (VARIANT) and snapshot_datetime, the file's time in UTC."""
+    """One row: v (VARIANT, null if the file is no JSON) and snapshot_datetime, the file's time in UTC."""
     raw = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_modification_time").alias("t"))
-    return raw.select(F.parse_json("value").alias("v"), F.concat(F.date_format(F.convert_timezone(None, F.lit("UTC"), F.col("t").cast("timestamp_ntz")), "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")).alias("snapshot_datetime"))
+    return raw.select(F.try_parse_json("value").alias("v"), F.concat(F.date_format(F.convert_timezone(None, F.lit("UTC"), F.col("t").cast("timestamp_ntz")), "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")).alias("snapshot_datetime"))
 
 
 def _items(s: DataFrame, path: str) -> DataFrame:
-    s.createOrReplaceTempView("_snapshot")
-    at = f"variant_get(v, '{path}', 'variant')"
-    return s.sparkSession.sql(f"SELECT s.v, s.snapshot_datetime, e.pos, e.value AS x FROM _snapshot s, LATERAL variant_explode({at}) e")
+    # elements in place: nothing is named in the session
+    listed = F.try_variant_get("v", path, "array<variant>")
+    return s.select("v", "snapshot_datetime", F.posexplode(listed).alias("pos", "x"))
 
 
 def _get(c: str, key: str, kind: str = "string") -> Column:
@@ -95,8 +95,8 @@ def tables(s: DataFrame, manufacturer: str, cars_only: bool = False) -> dict[str
     return {"cars_catalog": cars, "trims_pricing": t, "provinces": provinces(s), "fee_rules": fee_rules(s), "rolling_cost_matrix": cost_matrix(t)}
 
 
-def vehicles(s: DataFrame, brand: str = "") -> DataFrame:
-    """Vehicle records with trims, plate fees by zone and a Markdown description."""
+def vehicles(s: DataFrame, brand: str = "", placed: bool = False) -> DataFrame:
+    """Vehicle records with trims, plate fees by zone and a Markdown description; ``placed``: with their ``place``, cars first."""
     out = None
     for name, kind, label, key, plate in (("cars", "car", "Ô tô điện", "carLicenseFee", 20_000_000), ("bikes", "bike", "Xe máy điện", "bikeLicenseFeeMedium", 2_000_000)):
         m = _items(s, f"$.vehicles.{name}.models").select(F.lit(kind).alias("vehicle_type"), "pos", F.coalesce(_get("x", "id"), F.lit("")).alias("vehicle_id"), F.coalesce(_get("x", "name"), F.lit("")).alias("model_name"), F.try_variant_get("v", f"$.vehicles.{name}", "map<string,variant>").alias("d"), F.try_variant_get("v", "$.objects.fees", "array<variant>").alias("fees"))
@@ -123,6 +123,7 @@ def vehicles(s: DataFrame, brand: str = "") -> DataFrame:
             F.lit("### Lệ phí đăng ký và biển số tham khảo:"), F.lit("- Khu vực 1 (Hà Nội, TP.HCM): 20.000.000 VNĐ (ô tô) / 1.000.000 - 4.000.000 VNĐ (xe máy)"), F.lit("- Khu vực 2, 3: 1.000.000 VNĐ (ô tô) / 50.000 - 150.000 VNĐ (xe máy)"),
             F.lit("- Ô tô điện chạy pin được miễn 100% lệ phí trước bạ theo quy định của Chính phủ."),
         )
-        part = m.select("vehicle_id", "model_name", "vehicle_type", "trims", "rolling_costs", doc.alias("searchable_markdown"))
+        place = [F.struct((F.col("vehicle_type") != "car").alias("kind"), "pos").alias("place")] if placed else []
+        part = m.select("vehicle_id", "model_name", "vehicle_type", "trims", "rolling_costs", doc.alias("searchable_markdown"), *place)
         out = part if out is None else out.unionByName(part)
     return out

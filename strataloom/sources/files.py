@@ -20,6 +20,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as the readers of files name it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Elements of a JSON array file with ``pos``; a missing or broken file has none."""
     if not exists(spark, path):
@@ -78,7 +84,7 @@ def valid_pdf(content: Column) -> Column:
 def bronze_articles(manifest: DataFrame, pages: DataFrame, default_category: str, default_domain: str, source_rank: int = 0, main_extractor=None) -> DataFrame:
     """Articles of a manifest as bronze documents. ``main_extractor``: a Column
     function html -> Markdown to try first; short results fall back to the paragraphs of the article."""
-    joined = pages.join(F.broadcast(manifest) if manifest.isLocal() else manifest, "file")
+    joined = pages.join(manifest, "file")
     fallback = H.article_text(F.col("content"))
     body = fallback
     if main_extractor is not None:
@@ -91,16 +97,25 @@ def bronze_articles(manifest: DataFrame, pages: DataFrame, default_category: str
     return d.select(
         (F.lit(source_rank).cast("long") * (1 << 40) + F.col("pos")).alias("ord"), F.concat_ws("_", F.lit("html"), domain, "file").alias("raw_id"), F.lit("html_article").alias("source_type"), F.col("path").alias("source_file"),
         "title", "url", F.coalesce("category", F.lit(default_category)).alias("category"), domain.alias("domain"), content.alias("raw_content"),
-        F.map_from_arrays(F.array(F.lit("file"), F.lit("url")), F.array("file", "url")).alias("raw_metadata"), "crawled_at",
+        _metadata("title", "url", "category", "domain", "file", "bytes", "crawled_at").alias("raw_metadata"), "crawled_at",
     )
 
 
-def bronze_prints(pages: DataFrame, source_rank: int = 3) -> DataFrame:
-    """Printed documents (pos, file, title, category, pages: array<string>) as bronze
-    documents; page texts come from whatever PDF library the cluster has. Fewer than 100 characters: left out."""
+def _metadata(*names: str) -> Column:
+    """The entry of a manifest as a map, without what it lacks."""
+    return F.map_filter(F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*(F.col(n).cast("string") for n in names))), lambda k, v: v.isNotNull())
+
+
+def bronze_prints(pages: DataFrame, source_rank: int = 3, domain: str = "local_pdf") -> DataFrame:
+    """Printed documents (a manifest's columns with pos, path, and pages: array<string>) as bronze documents. Fewer than 100 characters: left out."""
     d = pages.withColumn("raw_content", text.printed_markdown(F.col("pages"), F.col("title"))).filter(F.length("raw_content") >= 100)
-    null = F.lit(None).cast("string")
-    return d.select((F.lit(source_rank).cast("long") * (1 << 40) + F.col("pos")).alias("ord"), F.concat(F.lit("pdf_"), "file").alias("raw_id"), F.lit("pdf").alias("source_type"), F.col("file").alias("source_file"), "title", null.alias("url"), "category", null.alias("domain"), "raw_content", F.map_from_arrays(F.array(F.lit("file")), F.array("file")).alias("raw_metadata"), null.alias("crawled_at"))
+    null, name = F.lit(None).cast("string"), F.element_at(F.split("relative_path", "/"), -1)
+    category = F.coalesce("category", F.lit("general"))
+    title = F.coalesce(F.nullif("title", F.lit("")), titled(F.replace(name, F.lit(".pdf"), F.lit(""))))
+    return d.select(
+        (F.lit(source_rank).cast("long") * (1 << 40) + F.col("pos")).alias("ord"), F.concat_ws("_", F.lit("pdf"), category, name).alias("raw_id"), F.lit("pdf").alias("source_type"), F.col("path").alias("source_file"), title.alias("title"), null.alias("url"),
+        category.alias("category"), F.lit(domain).alias("domain"), "raw_content", _metadata("title", "category", "relative_path", "size_bytes", "type").alias("raw_metadata"), null.alias("crawled_at"),
+    )
 
 
 def upsert_manifest(existing: DataFrame, new: DataFrame) -> DataFrame:
