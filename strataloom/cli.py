@@ -1,4 +1,4 @@
-"""Command line:  python -m strataloom.cli silver|gold|run|stats|sample --root FOLDER"""
+"""Command line:  python -m strataloom.cli crawl|bronze|silver|gold|run|stats|sample --root FOLDER [--layout FILE]"""
 
 from __future__ import annotations
 
@@ -11,14 +11,23 @@ from pyspark.sql import SparkSession
 
 from .plans.medallion import Config
 from .plans.orchestrator import Orchestrator
+from .sources.bronze import Layout
+from .sources.files import read_report
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="strataloom", description="Layers of a text corpus.")
     sub = p.add_subparsers(dest="command", required=True)
-    for name, what in (("silver", "bronze to silver"), ("gold", "silver to gold"), ("run", "both"), ("stats", "rows of all tables"), ("sample", "first rows of a table")):
+    every = (("crawl", "what is to be fetched"), ("bronze", "files to bronze"), ("silver", "bronze to silver"), ("gold", "silver to gold"), ("run", "all layers"), ("stats", "rows, files and bytes of all tables"), ("sample", "first rows of a table"))
+    for name, what in every:
         c = sub.add_parser(name, help=what)
         c.add_argument("--root", required=True, help="folder of the layers")
+        if name in ("bronze", "silver", "gold", "run"):
+            c.add_argument("--layout", required=name == "bronze", help="JSON file that names the sources (the fields of sources.bronze.Layout)")
+        if name == "crawl":
+            c.add_argument("--sources", required=True, help="address list, CSV")
+            c.add_argument("--manifest", required=True, help="manifest of what has been fetched, JSON")
+            c.add_argument("--max-pages", type=int)
         if name in ("silver", "run"):
             c.add_argument("--chunk-size", type=int, default=Config.chunk_size)
             c.add_argument("--overlap", type=int, default=Config.chunk_overlap)
@@ -40,8 +49,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     names = {"chunk_size": "chunk_size", "overlap": "chunk_overlap", "threshold": "dedup_threshold"}
     config = replace(Config(), **{field: a[flag] for flag, field in names.items() if flag in a})
     config = replace(config, deduplicate=not a.get("keep_duplicates", False), dedup_exact=not a.get("no_exact", False), dedup_near=not a.get("no_near", False))
-    o = Orchestrator(spark or SparkSession.builder.appName("strataloom").getOrCreate(), a["root"], config)
-    todo = {"silver": o.run_silver, "gold": o.run_gold, "run": o.run_all, "stats": o.stats, "sample": lambda: o.sample(a["layer"], a["table"], a["n"])}
+    spark = spark or SparkSession.builder.appName("strataloom").getOrCreate()
+    layout = Layout.of({"layout": json.dumps({"articles": []} | read_report(spark, a["layout"]))}) if a.get("layout") else None
+    o = Orchestrator(spark, a["root"], config, layout)
+    todo = {"crawl": lambda: o.run_crawl(a["sources"], a["manifest"], a["max_pages"]), "bronze": o.run_bronze, "silver": o.run_silver, "gold": o.run_gold, "run": o.run_all, "stats": o.stats, "sample": lambda: o.sample(a["layer"], a["table"], a["n"])}
     out = todo[a["command"]]()
     json.dump(out, sys.stdout, ensure_ascii=False, indent=2, default=str)
     print()

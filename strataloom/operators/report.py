@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -31,31 +33,64 @@ def human_size(n: Column) -> Column:
     return F.when(n < 1024, F.concat(n.cast("string"), F.lit(" B"))).when(kb < 1024, F.format_string("%.1f KB", F.bround(kb.cast("double"), 1))).otherwise(F.format_string("%.1f MB", F.bround(mb.cast("double"), 1)))
 
 
-def silver_report(bronze: DataFrame, flagged: DataFrame, documents: DataFrame, chunks: DataFrame) -> dict:
-    """Totals, averages and histograms of a silver run; four aggregates of one row or few."""
-    a = flagged.agg(F.count("*").alias("n"), F.count_if("low_quality").alias("low")).first()
-    d = documents.agg(F.count("*").alias("n"), F.round(F.avg("quality_score"), 3).alias("q")).first()
-    c = chunks.agg(F.count("*").alias("n"), F.round(F.avg("token_estimate"), 1).alias("t")).first()
-    hist = lambda col: {r[0]: r[1] for r in histogram(bronze, F.coalesce(F.nullif(F.col(col), F.lit("")), F.lit("general")), "k").collect()}
+#: Values that a histogram has at most, and that it tracks: with up to three quarters of these different ones it is exact.
+TOP, TRACKED = 1000, 20_000
+
+
+def or_general(name: str) -> Column:
+    return F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit("general"))
+
+
+def top(value: Column) -> Column:
+    """The most frequent values with their counts, as an aggregate of bounded size that can be observed."""
+    return F.call_function("approx_top_k", value, F.lit(TOP), F.lit(TRACKED))
+
+
+class Watch:
+    """Aggregates over rows on their way into a table: told by the pass that writes them, without a scan of their own.
+
+    Put right below the write, so that each counts the tasks that succeed."""
+
+    def __init__(self) -> None:
+        self.seen: dict[str, Observation] = {}
+
+    def on(self, df: DataFrame, name: str, **aggregates: Column) -> DataFrame:
+        self.seen[name] = Observation(f"{name}-{uuid.uuid4().hex}")
+        return df.observe(self.seen[name], *(c.alias(k) for k, c in aggregates.items()))
+
+    def __getitem__(self, name: str) -> dict:
+        """What was seen; histograms as dictionaries, largest first."""
+        shown = lambda v: {r["item"]: r["count"] for r in v} if isinstance(v, list) else v
+        return {k: shown(v) for k, v in self.seen[name].get.items()}
+
+
+def silver_report(bronze: dict, documents: dict, chunks: dict, more: dict[str, int], errors: dict[str, int]) -> dict:
+    """Totals, averages and histograms of a silver run, of what its writes have seen."""
     return {
-        "total_bronze_records": a["n"], "total_silver_documents": d["n"], "total_silver_chunks": c["n"], "duplicates_filtered": a["n"] - a["low"] - d["n"], "low_quality_filtered": a["low"],
-        "source_distribution": hist("source_type"), "category_distribution": hist("category"), "average_quality_score": d["q"] or 0.0, "average_token_count_per_chunk": c["t"] or 0.0,
+        "total_bronze_records": bronze["n"], "total_silver_documents": documents["n"], "total_silver_chunks": chunks["n"], **more,
+        "duplicates_filtered": bronze["n"] - bronze["low"] - documents["n"], "low_quality_filtered": bronze["low"], "language_distribution": documents["languages"],
+        "source_distribution": bronze["sources"], "category_distribution": bronze["categories"], "average_quality_score": round(documents["q"] or 0.0, 3), "average_token_count_per_chunk": round(chunks["t"] or 0.0, 1),
+        "errors": errors,
     }
 
 
-def gold_report(silver_chunks: DataFrame, verdicts: DataFrame, gold_chunks: DataFrame, gold_documents: DataFrame) -> dict:
+def gold_report(verdicts: dict, chunks: dict, documents: dict, more: dict[str, int], reasons: dict[str, int]) -> dict:
     """Totals and distributions of a gold run."""
-    v = verdicts.agg(F.count("*").alias("n"), F.count_if("admitted").alias("ok")).first()
-    g = gold_chunks.agg(F.count("*").alias("n"), F.coalesce(F.sum("near_duplicate_merged"), F.lit(0)).alias("near")).first()
-    reasons = top_reasons(verdicts.filter("not admitted"), "reason", "ord").collect()
-    topics = histogram(gold_chunks, F.col("topic"), "topic").collect()
+    n, ok, kept, near = verdicts["n"], verdicts["ok"], chunks["n"], chunks["near"] or 0
     return {
-        "total_silver_chunks": v["n"], "relevant_chunks_before_dedup": v["ok"], "filtered_out_irrelevant_chunks": v["n"] - v["ok"], "near_duplicates_dropped": g["near"], "total_duplicates_dropped": v["ok"] - g["n"],
-        "exact_duplicates_dropped": v["ok"] - g["n"] - g["near"], "total_gold_chunks": g["n"], "retention_rate_percent": round(g["n"] / v["n"] * 100, 2) if v["n"] else 0.0,
-        "total_gold_documents": gold_documents.count(), "gold_topic_distribution": {r[0]: r[1] for r in topics}, "top_filter_reasons": {r[0]: r[1] for r in reasons},
+        "total_silver_chunks": n, "relevant_chunks_before_dedup": ok, "filtered_out_irrelevant_chunks": n - ok, "exact_duplicates_dropped": ok - kept - near, "near_duplicates_dropped": near, "total_duplicates_dropped": ok - kept,
+        "total_gold_chunks": kept, "filtered_out_chunks": n - kept, "retention_rate_percent": round(kept / n * 100, 2) if n else 0.0, "total_gold_documents": documents["n"], **more,
+        "gold_topic_distribution": chunks["topics"], "top_filter_reasons": reasons,
     }
 
 
+def table_size(df: DataFrame) -> dict[str, int]:
+    """Rows, files and bytes of a written table, of its files' footers and names alone."""
+    each = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")).groupBy("f").agg(F.count("*").alias("n"), F.max("b").alias("b"))
+    r = each.agg(F.sum("n"), F.count("*"), F.sum("b")).first()
+    return {"rows": r[0] or 0, "files": r[1], "bytes": r[2] or 0}
+
+
 def markdown_table(rows: list[tuple], header: list[str]) -> str:
     """A small aggregate as a Markdown table, for README files of data folders."""
     line = lambda x: "| " + " | ".join(str(v) for v in x) + " |"

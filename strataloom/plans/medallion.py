@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
@@ -39,11 +40,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def cleaned(bronze: DataFrame, config: Config = Config(), written: bool = True) -> DataFrame:
+def low_quality(config: Config = Config()) -> Column:
+    """Whether a cleaned document has no text or does not pass."""
+    passed = text.quality_gate(F.col("markdown"), F.col("ratio"), config.min_diacritic_ratio, config.min_doc_length)
+    return (text.strip(F.coalesce("raw_content", F.lit(""))) == "") | ~passed
+
+
+def cleaned(bronze: DataFrame, config: Config = Config(), written: bool = True, watch: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
     """``bronze`` with markdown, ratio, quality_score and low_quality.
 
     The clean text is written and read again: later filters would otherwise be
-    pushed below it and compute it several times over. ``written=False`` leaves that out, for streams.
+    pushed below it and compute it several times over. ``written=False`` leaves that out, for streams. ``watch`` sees what is written.
     """
     raw = F.coalesce("raw_content", F.lit(""))
     bronze = spread(bronze) if written else bronze
@@ -54,10 +61,9 @@ def cleaned(bronze: DataFrame, config: Config = Config(), written: bool = True)
     d = d.withColumn("markdown", text.modern_tones(F.col("markdown"))).withColumn("markdown", text.typography(F.col("markdown")))
     d = d.withColumn("ratio", text.diacritic_ratio(F.col("markdown")))
     if written:
-        d = materialize(d, "clean")
+        d = materialize(watch(d), "clean")
     d = d.withColumn("quality_score", text.quality_score(F.col("markdown"), F.col("ratio"), config.min_diacritic_ratio, config.min_doc_length))
-    passed = text.quality_gate(F.col("markdown"), F.col("ratio"), config.min_diacritic_ratio, config.min_doc_length)
-    return d.withColumn("low_quality", (text.strip(raw) == "") | ~passed)
+    return d.withColumn("low_quality", low_quality(config))
 
 
 def silver_documents(flagged: DataFrame, config: Config = Config()) -> DataFrame:
