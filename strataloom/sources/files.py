@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import text
+from ..operators import dedup
 
 MANIFEST = "title string, url string, category string, domain string, file string, bytes long, crawled_at string"
 PRINT_MANIFEST = "title string, category string, relative_path string, size_bytes long, type string"
@@ -123,13 +125,55 @@ def upsert_manifest(existing: DataFrame, new: DataFrame) -> DataFrame:
     return existing.unionByName(new.join(existing.select("file"), "file", "left_anti"), allowMissingColumns=True)
 
 
+def _paths(spark: SparkSession, path: str):
+    """The file system of a table's path, the path itself and where its last version waits while a new one takes its place."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p, spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.last")
+
+
+def recovered(spark: SparkSession, path: str) -> bool:
+    """Put back a table's last version where a replacement was cut off between its two renames; whether there is a table."""
+    fs, now, last = _paths(spark, path)
+    if not fs.exists(now) and fs.exists(last):
+        fs.rename(last, now)
+    return fs.exists(now)
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Write a table in place of the one at ``path``, which ``df`` may read: the new one is written beside it, whole, and then
+    renamed. Until then, and after any failure, the old one is there; ``recovered`` settles a cut between the renames."""
+    spark = df.sparkSession
+    fs, now, last = _paths(spark, path)
+    recovered(spark, path)
+    staged = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.new-{uuid.uuid4().hex}")
+    try:
+        df.write.parquet(staged.toString())
+        fs.delete(last, True)
+        if fs.exists(now) and not fs.rename(now, last):
+            raise OSError(f"{now.toString()} cannot be renamed")
+        if not fs.rename(staged, now):
+            raise OSError(f"{staged.toString()} cannot be renamed")
+    finally:
+        fs.delete(staged, True)
+        recovered(spark, path)
+    fs.delete(last, True)
+
+
+def upsert_table(new: DataFrame, path: str) -> DataFrame:
+    """Add to the manifest table at ``path`` those entries of ``new`` whose file it lacks, in place; returns the table."""
+    spark = new.sparkSession
+    there = recovered(spark, path)
+    replace_table(upsert_manifest(spark.read.parquet(path), new) if there else dedup.first_by(new, "file", "file"), path)
+    return spark.read.parquet(path)
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    """The primary format; partitions are written in parallel."""
-    df.write.mode("overwrite").parquet(path)
+    """The primary format; partitions are written in parallel, and a table that is there stays until the new one is whole."""
+    replace_table(df, path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

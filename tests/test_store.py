@@ -6,8 +6,10 @@ from concurrent.futures import ThreadPoolExecutor
 from threading import Barrier
 
 import pytest
+from pyspark.sql import functions as F
 
 from strataloom import store
+from strataloom.sources import files
 
 
 def test_scopes_of_threads_are_apart(spark):
@@ -50,3 +52,24 @@ def test_an_inner_scope_that_fails_leaves_the_outer_one(spark):
     with store.scope(spark):
         store._scope.get().uris.append(out._strataloom_uri)
     assert set(store._made) == before
+
+
+def test_an_upsert_onto_its_own_path_loses_nothing(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    rows = lambda: {tuple(r) for r in spark.read.parquet(path).collect()}
+    new = lambda *r: spark.createDataFrame(list(r), "file string, title string")
+    files.upsert_table(new(("a", "1"), ("b", "2")), path)
+    files.upsert_table(new(("b", "other"), ("c", "3")), path)
+    want = {("a", "1"), ("b", "2"), ("c", "3")}
+    assert rows() == want
+    broken = new(("d", "4"), ("e", "5")).withColumn("title", F.when(F.col("file") == "e", F.raise_error(F.lit("halfway"))).otherwise(F.col("title")).cast("string"))
+    with pytest.raises(Exception, match="halfway"):
+        files.upsert_table(broken, path)
+    assert rows() == want and sorted(p.name for p in tmp_path.iterdir()) == ["manifest"]
+    (tmp_path / "manifest").rename(tmp_path / "manifest.last")  # cut off between the renames
+    (tmp_path / "manifest.new-x").mkdir()
+    assert files.recovered(spark, path) and rows() == want
+    files.upsert_table(new(("f", "6")), path)
+    assert rows() == want | {("f", "6")}
+    files.replace_table(spark.read.parquet(path).filter("file > 'b'"), path)
+    assert {r[0] for r in rows()} == {"c", "f"} and not files.recovered(spark, str(tmp_path / "none"))
