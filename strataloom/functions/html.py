@@ -131,6 +131,75 @@ def markdown(node: Node) -> str:
     return re.sub(r"\n{3,}", "\n\n", show(node, 0)).strip()
 
 
+#: Elements that are blocks of text, and those that hold blocks; a block's least length, and the share of its text in links from which it is none.
+TEXT_BLOCKS = {"p", "pre", "blockquote", "li", "td", "dd", "h1", "h2", "h3", "h4", "h5", "h6"}
+HOLDERS = {"body", "main", "article", "section", "div", "td", "blockquote", "ul", "ol", "table", "tbody", "tr", "dl", "aside"}
+LEAST_BLOCK, LINKED = 25, 0.5
+#: Words in a class or id of what stands beside the main content.
+BESIDE = {"ad", "ads", "advert", "aside", "banner", "breadcrumb", "comment", "comments", "cookie", "menu", "related", "share", "sidebar", "social", "widget"}
+
+
+def _lengths(root: Node) -> dict[int, tuple[int, int]]:
+    """(characters of text, of them in links) below each element, by its identity; without recursion."""
+    out, stack = {}, [(root, False)]
+    while stack:
+        x, done = stack.pop()
+        if not done:
+            stack.append((x, True))
+            stack.extend((c, False) for c in x.children if isinstance(c, Node))
+            continue
+        own = sum(len(" ".join(c.split())) for c in x.children if isinstance(c, str))
+        below = [out[id(c)] for c in x.children if isinstance(c, Node)]
+        n = own + sum(b[0] for b in below)
+        out[id(x)] = (n, n if x.tag == "a" else sum(b[1] for b in below))
+    return out
+
+
+def _beside(x: Node) -> bool:
+    import re
+
+    return bool(BESIDE & set(re.split(r"[^a-z]+", f"{x.attrs.get('class', '')} {x.attrs.get('id', '')}".lower())))
+
+
+def main_node(root: Node) -> Node | None:
+    """The element that holds the main content: of those that hold blocks of text, the one with the most text outside links. A block counts
+    whole for the holder around it and for half, a third and so on for those further out; blocks mostly of links do not count,
+    and text in links counts against a holder by its share. Of equals the first in the document."""
+    size, score, order = _lengths(root), {}, []
+    stack = [(root, ())]
+    while stack:
+        x, above = stack.pop()
+        n, linked = size[id(x)]
+        if x.tag in HOLDERS:
+            score[id(x)] = 0.0
+            order.append(x)
+            above = (x, *above[:4])
+        bare = x.tag in HOLDERS and not any(isinstance(c, Node) and c.tag in HOLDERS | TEXT_BLOCKS for c in x.children)
+        if (x.tag in TEXT_BLOCKS or bare) and n >= LEAST_BLOCK and linked < LINKED * n:
+            for far, holder in enumerate(above):
+                score[id(holder)] += (n - linked) / (far + 1)
+        stack.extend((c, above) for c in reversed(x.children) if isinstance(c, Node) and not _beside(c))
+    share = lambda x: 1 - size[id(x)][1] / max(size[id(x)][0], 1)
+    best = max(order, key=lambda x: score[id(x)] * share(x), default=None)
+    return best if best is not None and score[id(best)] > 0 else None
+
+
+def main_content(html: str) -> str:
+    """The main content of a page as Markdown, without parts beside it and blocks of links; empty if there is none."""
+    root = tree(html)
+    _prune(root)
+    top = main_node(root)
+    if top is None:
+        return ""
+    size, stack = _lengths(top), [top]
+    while stack:
+        x = stack.pop()
+        keep = lambda c: isinstance(c, str) or not (_beside(c) or (c.tag in HOLDERS and size[id(c)][1] >= LINKED * max(size[id(c)][0], 1) and size[id(c)][1]))
+        x.children = [c for c in x.children if keep(c)]
+        stack.extend(c for c in x.children if isinstance(c, Node))
+    return markdown(top)
+
+
 FAQ = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("text", T.StringType()), T.StructField("answer", T.StringType()), T.StructField("answer_markdown", T.StringType())]))
 LINKS = T.ArrayType(T.StructType([T.StructField("href", T.StringType()), T.StructField("title", T.StringType())]))
 
@@ -170,6 +239,11 @@ def article_text(pages: pd.Series) -> pd.Series:
     return pages.map(lambda h: _safe(article, h))
 
 
+@F.pandas_udf(T.StringType())
+def main_markdown(pages: pd.Series) -> pd.Series:
+    return pages.map(lambda h: _safe(main_content, h))
+
+
 @F.pandas_udf(FAQ)
 def faq_of_page(pages: pd.Series) -> pd.Series:
     return pages.map(lambda h: _safe(faq_elements, h))

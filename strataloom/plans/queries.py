@@ -307,6 +307,13 @@ def page_article(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", html.article_text(F.col("html")).alias("article"))
 
 
+@_query
+def page_main(spark, sf_dir):
+    """Main content by blocks of text and links, the paragraphs of the article where that is short."""
+    p = table(spark, sf_dir, "pages").select("page_id", html.main_markdown(F.col("html")).alias("main"), html.article_text(F.col("html")).alias("article"))
+    return p.select("page_id", F.when(F.length(text.strip(F.coalesce("main", F.lit("")))) < 100, F.col("article")).otherwise(F.col("main")).alias("content"))
+
+
 @_query
 def page_links(spark, sf_dir):
     p = table(spark, sf_dir, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)"'), F.lit(1))).alias("nth", "href"))

@@ -57,6 +57,8 @@ class Layout:
     faq_url: str = ""
     snapshot_url: str = ""
     names: list[str] = field(default_factory=list)
+    #: Take a page's main content by its blocks, and its paragraphs only where that is short.
+    main: bool = False
 
     def options(self) -> dict[str, str]:
         return {"layout": json.dumps(asdict(self))}
@@ -90,7 +92,7 @@ def bronze_plan(spark: SparkSession, layout: Layout) -> DataFrame:
     empty_to_null = lambda x: F.lit(x or None).cast("string")
     for rank, a in enumerate(layout.articles):
         if files.exists(spark, a.manifest) and files.exists(spark, a.folder):
-            parts.append(files.bronze_articles(files.read_json_array(spark, a.manifest, files.MANIFEST), files.read_pages(spark, a.folder, "*"), a.category, a.domain, rank))
+            parts.append(files.bronze_articles(files.read_json_array(spark, a.manifest, files.MANIFEST), files.read_pages(spark, a.folder, "*"), a.category, a.domain, rank, H.main_markdown if layout.main else None))
     if layout.faq and files.exists(spark, layout.faq):
         pages = files.read_pages(spark, layout.faq, "*").select(F.col("path").alias("page"), F.col("content").alias("html"))
         d = faq.documents(faq.items(pages, layout.names, layout.brand))
@@ -229,7 +231,10 @@ def _article(e: dict, layout: Layout) -> Iterator[tuple]:
     item = e["item"]
     if not _is_file(e["path"]):
         raise FileNotFoundError(e["path"])
-    content = H.article(_bytes(e["path"]).decode("utf-8", "ignore"))
+    html = _bytes(e["path"]).decode("utf-8", "ignore")
+    content = H.main_content(html) if layout.main else ""
+    if len(content.strip(_BLANKS)) < 100:
+        content = H.article(html)
     if content.strip(_BLANKS):
         title = item.get("title")
         if title and not content.startswith("#"):

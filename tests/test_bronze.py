@@ -60,6 +60,15 @@ def test_the_data_source_equals_the_plan(spark, layout):
     assert files.BRONZE == ", ".join(f"{n} {t}" for n, t in bronze.read_bronze(spark, layout).dtypes).replace("bigint", "long")
 
 
+@pytest.mark.parametrize("main", [True])
+def test_main_content_in_both(spark, layout, main):
+    from dataclasses import replace
+
+    own = replace(layout, main=main)
+    plan = rows(bronze.bronze_plan(spark, own))
+    assert plan == rows(bronze.read_bronze(spark, own)) and "bỏ" not in plan[1]["raw_content"] and plan[1]["raw_content"].startswith("# ")
+
+
 def test_filters_leave_files_out(spark, layout):
     df = bronze.read_bronze(spark, layout)
     plan = bronze.bronze_plan(spark, layout)
