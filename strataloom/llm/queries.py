@@ -100,4 +100,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat": chat.ORACLE, "op13_hard_negatives": negatives.ORACLE}
+    return {"op6_chat": chat.ORACLE, "op11_conversation_repair": repair.ORACLE, "op13_hard_negatives": negatives.ORACLE}

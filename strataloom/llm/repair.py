@@ -364,3 +364,50 @@ def damaged(rows: DataFrame) -> DataFrame:
     text = F.when(F.col("d") == 1, "").when(F.col("d") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
     r = r.filter("d != 0").select("conv_id", "turn", F.when(F.col("d") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), "d")
     return r.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("d") == 3, 2).otherwise(1)))).select("conv_id", "turn", "role", "text")
+
+
+_CRC32 = "xor(list_reduce(flatten(list_transform(string_split(k, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1])), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, 4294967295::BIGINT), 4294967295)"
+
+#: Forward over the rows, the best way into each state by (cost, audit); more than one turn put in before a row is never cheapest.
+ORACLE = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC32} % 20 AS d
+  FROM (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations)
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) AS copy FROM keyed WHERE d <> 0
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id) AS cid, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core FROM damaged
+), judged AS MATERIALIZED (
+  SELECT *, left(role, 1) AS ini, CASE WHEN core = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY cid, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM placed
+), ways AS (
+  SELECT DISTINCT cid, 0::BIGINT AS i, '' AS state, 0 AS cost, '' AS audit, []::VARCHAR[] AS kept FROM judged
+  UNION ALL
+  SELECT cid, i, state, cost, audit, kept FROM (
+    SELECT * FROM (
+      SELECT j.cid, j.i, unnest([{{'state': w.state, 'cost': w.cost + 3, 'audit': w.audit || 'D', 'kept': w.kept}},
+        CASE WHEN coalesce(fault, '') NOT IN ('blank', 'duplicate') AND CASE w.state WHEN '' THEN ini IN ('s', 'u') WHEN 'u' THEN ini = 'a' ELSE ini = 'u' END
+          THEN {{'state': ini, 'cost': w.cost + (fault IS NOT NULL)::INTEGER, 'audit': w.audit || 'K', 'kept': list_append(w.kept, role || ':' || text)}} END,
+        CASE WHEN coalesce(fault, '') NOT IN ('blank', 'duplicate')
+          THEN {{'state': CASE WHEN w.state = 'u' THEN 'a' ELSE 'u' END, 'cost': w.cost + 2 + (fault IS NOT NULL)::INTEGER, 'audit': w.audit || 'R', 'kept': list_append(w.kept, CASE WHEN w.state = 'u' THEN 'assistant:' ELSE 'user:' END || text)}} END], recursive := true)
+      FROM (
+        SELECT cid, i, state, cost, audit, kept FROM ways
+        UNION ALL
+        SELECT cid, i, CASE WHEN state = 'u' THEN 'a' ELSE 'u' END, cost + 2, audit || 'I', list_append(kept, CASE WHEN state = 'u' THEN 'assistant:' ELSE 'user:' END) FROM ways
+      ) w JOIN judged j ON j.cid = w.cid AND j.i = w.i + 1
+    ) WHERE state IS NOT NULL QUALIFY row_number() OVER (PARTITION BY cid, state ORDER BY cost, audit) = 1)
+), ended AS (
+  SELECT cid, cost + CASE state WHEN 'u' THEN 2 WHEN 's' THEN 4 ELSE 0 END AS cost, audit || CASE state WHEN 'u' THEN 'I' WHEN 's' THEN 'II' ELSE '' END AS audit,
+    kept || CASE state WHEN 'u' THEN ['assistant:'] WHEN 's' THEN ['user:', 'assistant:'] ELSE []::VARCHAR[] END AS kept
+  FROM ways JOIN (SELECT cid, max(i) AS i FROM judged GROUP BY cid) USING (cid, i)
+  QUALIFY row_number() OVER (PARTITION BY cid ORDER BY cost + CASE state WHEN 'u' THEN 2 WHEN 's' THEN 4 ELSE 0 END, audit || CASE state WHEN 'u' THEN 'I' WHEN 's' THEN 'II' ELSE '' END) = 1
+), counted AS (
+  SELECT any_value(conv_id) AS conv_id, cid, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, ini || lead(ini) OVER (PARTITION BY cid ORDER BY i) AS pair FROM judged) GROUP BY cid
+)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN ended USING (cid)
+"""
