@@ -27,7 +27,7 @@ DIACRITICS = (
     "ÁÀẢÃẠĂẮẰẲẴẶÂẤẦẨẪẬĐÉÈẺẼẸÊẾỀỂỄỆÍÌỈĨỊÓÒỎÕỌÔỐỒỔỖỘƠỚỜỞỠỢÚÙỦŨỤƯỨỪỬỮỰÝỲỶỸỴ"
 )
 
-#: A line in which one of these is found is boilerplate. Letter case does not matter.
+#: A line in which one of these is found is boilerplate. Letter case does not matter, so none states that itself.
 BOILERPLATE = (
     r"chia\s+sẻ\s+bài\s+viết\s*(qua)?\s*:?.*",
     r"chia\s+sẻ\s+lên\s+(facebook|zalo|twitter|linkedin).*",
@@ -42,9 +42,11 @@ BOILERPLATE = (
     r"bài\s+viết\s+liên\s+quan\s*:?.*",
     r"tin\s+cùng\s+chuyên\s+mục\s*:?.*",
     r"xem\s+thêm\s*:.*",
+    r"\d{1,2}/\d{1,2}/\d{2,4},\s*\d{1,2}:\d{2}\s*(?:AM|PM)\s*about:\s*blank.*",
     r"about:\s*blank.*",
     r"\d{1,2}/\d{1,2}/\d{2,4},\s*\d{1,2}:\d{2}\s*(?:AM|PM)\s*.*(?:https?://|Nghị định|Thông tư|Luật).*",
-    r"https?://(?:www\.)?(?:luatvietnam|thuvienphapluat)\.vn/\S*",
+    r"https?://(?:www\.)?luatvietnam\.vn/\S*",
+    r"https?://(?:www\.)?thuvienphapluat\.vn/\S*",
     r"\bPhân tích Hiệu lực:\s*Đã biết\b",
     r"\bTình trạng hiệu lực:\s*Đã biết\b",
     r"\bPhân tích\s*(?:Phân tích)+\b",
@@ -58,7 +60,7 @@ INLINE_NOISE = (
     (r"\bPhân tích(?:\s+Hiệu lực:\s*Đã biết|\s+Tình trạng hiệu lực:\s*Đã biết|\s+Phân tích)*\b", False),
 )
 
-#: Abbreviations after which a full stop ends no sentence; the second kind may be followed by several.
+#: Abbreviations after which a full stop ends no sentence, without it, as ``text.SENTENCE_END`` adds it; the second kind may be followed by several.
 HONORIFICS = ["pgs", "gs", "ts", "ths", "bs", "cn", "mr", "ms", "mrs", "dr", "k/g", "đ/c"]
 HONORIFICS_DOTTED = ["pgs.ts", "gs.ts", "th.s"]
 
@@ -71,7 +73,7 @@ CHAPTER, ARTICLE = r"^Chương\s+[IVXLCDM\d]+[^\n]*$", r"^Điều\s+\d+\.[^\n]*$
 #: Titles of documents that are left out.
 EXCLUDED_TITLES = ["nghi dinh 100 2019", "nghi dinh 123 2021", "nghi dinh 13 2023", "thong tu 43 2023", "thong tu 85 2014", "luat 36 2024 qh15", "nghi dinh 90 2023"]
 
-#: Articles on driving, told by what follows their number.
+#: Articles on driving, told by what follows their number; blanks stand for any white space (``classify._driving_rule``).
 DRIVING_RULES = [
     "sử dụng đèn", "sử dụng tín hiệu còi", "nhường đường", "qua phà", "giao thông tại đường ngang", "giao thông trên đường cao tốc",
     "giao thông trong hầm", "xe ưu tiên", "trường hợp chở người trên thùng xe", "xe kéo xe", "quy tắc chung", "tín hiệu giao thông",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
@@ -176,10 +176,26 @@ def write_table(df: DataFrame, path: str) -> None:
     replace_table(df, path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A small relational table as CSV with header; nothing for an empty one."""
-    if not df.isEmpty():
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mark: bool = True) -> int:
+    """A small relational table as one CSV file with header, after a byte order mark as spreadsheets want it; nothing for an
+    empty one. Counted by the pass that writes it; returns the rows."""
+    seen = Observation(f"csv-{uuid.uuid4().hex}")
+    one = df.coalesce(1).observe(seen, F.count("*").alias("n"))
+    if mark and df.columns:
+        one = one.withColumnRenamed(df.columns[0], f"\ufeff{df.columns[0]}")
+    one.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    n = seen.get["n"]
+    if not n:
+        fs, now, _ = _paths(df.sparkSession, path)
+        fs.delete(now, True)
+    return n
+
+
+def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A table that ``write_csv`` wrote: strings, or the types of ``schema``; a byte order mark is no part of a name."""
+    raw = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    kinds = dict(c.strip().split() for c in schema.split(",")) if schema else {}
+    return raw.select(*(F.col(f"`{c}`").cast(kinds.get(c.lstrip("\ufeff"), "string")).alias(c.lstrip("\ufeff")) for c in raw.columns))
 
 
 def write_text(spark: SparkSession, content: str, path: str) -> None:

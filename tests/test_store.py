@@ -73,3 +73,13 @@ def test_an_upsert_onto_its_own_path_loses_nothing(spark, tmp_path):
     assert rows() == want | {("f", "6")}
     files.replace_table(spark.read.parquet(path).filter("file > 'b'"), path)
     assert {r[0] for r in rows()} == {"c", "f"} and not files.recovered(spark, str(tmp_path / "none"))
+
+
+def test_csv_with_a_mark(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("Hà Nội", 5, None), ('a "b", c', 7, "x\ny")], "province_name string, n long, t string")
+    assert files.write_csv(df, path) == 2
+    (file,) = (tmp_path / "t").glob("*.csv")
+    assert file.read_bytes().startswith("\ufeffprovince_name,n,t\n".encode())
+    assert sorted(map(tuple, files.read_csv(spark, path, "n long").collect())) == sorted(map(tuple, df.collect()))
+    assert files.write_csv(df.limit(0), path) == 0 and not (tmp_path / "t").exists()
