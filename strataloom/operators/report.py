@@ -97,11 +97,31 @@ def markdown_table(rows: list[tuple], header: list[str]) -> str:
     return "\n".join([line(header), line(["---"] * len(header)), *map(line, rows)])
 
 
-def readme(title: str, report: dict) -> str:
-    """A data folder's README: the report's single figures as a table, then a table for each distribution, largest first."""
-    plain = [(k.replace("_", " "), v) for k, v in report.items() if not isinstance(v, dict)]
-    parts = [f"# {title}", markdown_table(plain, ["figure", "value"])]
-    for name, counts in ((k, v) for k, v in report.items() if isinstance(v, dict)):
+def shown_size(n: int) -> str:
+    """Bytes as people read them."""
+    return f"{n} B" if n < 1024 else f"{n / 1024:.1f} KB" if n < 1024**2 else f"{n / 1024**2:.1f} MB"
+
+
+#: What each layer's README says first, and what its tables hold.
+LAYERS = {
+    "crawl": ("What a crawl has to fetch, against what is there.", {"plan": "addresses with file names and status"}),
+    "bronze_audit": ("Sources as they were read, and what could not be used of them.", {"bronze": "documents of all sources in their order", "bronze_audit/errors": "files and manifests that could not be read"}),
+    "silver": ("Documents cleaned, gated and distinct, and their chunks.", {"documents": "clean documents", "chunks": "chunks with heading paths", "faq": "questions and answers", "vehicles": "vehicles with trims and prices"}),
+    "gold": ("Chunks that bear on the topics, without duplicates, and their documents.", {"documents": "documents with a chunk or a title that is kept", "chunks": "kept chunks by topic", "faq": "questions and answers", "vehicles": "vehicles with trims and prices"}),
+}
+
+
+def readme(title: str, report: dict, sizes: dict[str, dict] | None = None, relational: dict[str, int] | None = None) -> str:
+    """A data folder's README: what it is, its tables with rows, files and sizes, relational tables, the report's single figures,
+    then a table for each distribution, largest first."""
+    about, holds = LAYERS.get(title.lower().replace(" ", "_"), ("", {}))
+    parts = [f"# {title}", *([about] if about else [])]
+    if sizes:
+        parts += ["## tables", markdown_table([(t, holds.get(t.split("/", 1)[-1], holds.get(t, "")), x["rows"], x["files"], shown_size(x["bytes"])) for t, x in sizes.items()], ["table", "holds", "rows", "files", "size"])]
+    if relational:
+        parts += ["## relational tables", markdown_table(list(relational.items()), ["table", "rows"])]
+    parts += ["## figures", markdown_table([(k.replace("_", " "), v) for k, v in report.items() if not isinstance(v, dict)], ["figure", "value"])]
+    for name, counts in ((k, v) for k, v in report.items() if isinstance(v, dict) and v):
         rows = sorted(counts.items(), key=lambda kv: (-kv[1], str(kv[0])))
         parts += [f"## {name.replace('_', ' ')}", markdown_table(rows, ["value", "n"])]
     return "\n\n".join(parts) + "\n"

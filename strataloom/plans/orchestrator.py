@@ -28,6 +28,7 @@ class Orchestrator:
     root: str
     config: medallion.Config = field(default_factory=medallion.Config)
     layout: bronze.Layout | None = None
+    relational_rows: dict[str, dict[str, int]] = field(default_factory=dict, repr=False)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -98,8 +99,8 @@ class Orchestrator:
 
     def _relational(self, layer: str, cars_only: bool) -> None:
         s = relational.snapshot(self.spark, self.layout.snapshot)
-        for name, t in relational.tables(s, self.layout.brand, cars_only).items():
-            files.write_csv(t, self.path(layer, "rdb_schema", name))
+        tables = relational.tables(s, self.layout.brand, cars_only)
+        self.relational_rows[layer] = {name: files.write_csv(t, self.path(layer, "rdb_schema", name)) for name, t in tables.items()}
 
     def run_gold(self) -> dict:
         """Relevant chunks without duplicates and their documents; relational tables again from the snapshot, cars only."""
@@ -132,13 +133,14 @@ class Orchestrator:
     def _reported(self, layer: str, out: dict, began: float) -> dict:
         out = out | {"seconds": round(time.perf_counter() - began, 2)}
         files.write_report(self.spark, out, self.path(layer, f"{layer}_report.json"))
-        readme = report.readme(layer.capitalize(), out)
+        sizes = {k: v for k, v in self.stats().items() if k.startswith(f"{layer}/") or (layer == "bronze_audit" and k == "bronze")}
+        readme = report.readme(layer.replace("_", " ").capitalize(), out, sizes, self.relational_rows.get(layer))
         files.write_text(self.spark, readme, self.path(layer, "README.md"))
         return out
 
     def stats(self) -> dict:
         """Rows, files and bytes of each table that has been written."""
-        tables = [("bronze",), ("bronze_audit", "errors"), *((layer, t) for layer in ("silver", "gold") for t in ("documents", "chunks", "faq", "vehicles"))]
+        tables = [("crawl", "plan"), ("bronze",), ("bronze_audit", "errors"), *((layer, t) for layer in ("silver", "gold") for t in ("documents", "chunks", "faq", "vehicles"))]
         return {"/".join(t): report.table_size(self.read(*t)) for t in tables if self.has(*t)}
 
     def sample(self, layer: str, table: str, n: int = 3) -> list[dict]:

@@ -57,6 +57,9 @@ def test_runs_from_a_layout_with_all_tables_and_counters(spark, layout, tmp_path
     assert (g["total_gold_faq"], g["total_gold_vehicles"]) == (5, 3)
     rows = lambda layer: files.read_csv(spark, f"{root}/{layer}/rdb_schema/cars_catalog").filter("car_id is not null").count()
     assert (rows("silver"), rows("gold")) == (3, 2)
+    readme = (tmp_path / "out/silver/README.md").read_text()
+    assert "| cars_catalog | 3 |" in readme and f"| silver/faq | questions and answers | 5 | {o.stats()['silver/faq']['files']} |" in readme and "## category distribution" in readme
+    assert "| cars_catalog | 2 |" in (tmp_path / "out/gold/README.md").read_text() and "| bronze | documents of all sources" in (tmp_path / "out/bronze_audit/README.md").read_text()
     size = o.stats()["silver/chunks"]
     assert size["rows"] == n("silver", "chunks") and size["files"] >= 1 and size["bytes"] > 500
 
