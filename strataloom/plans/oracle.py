@@ -297,14 +297,14 @@ def oracle_sql() -> dict[str, str]:
     out["crawl_page_cap"] = f"SELECT file, rank, ord, 'pending' AS status FROM ({once}) ORDER BY rank, ord LIMIT 20"
     out["print_manifest_paths"] = """
       SELECT d.doc_id, coalesce(a.path, b.path) AS path FROM documents d
-      LEFT JOIN (SELECT source || '/' || doc_id || '.pdf' AS path FROM documents WHERE length(text) > 500) a ON a.path = d.source || '/' || d.doc_id || '.pdf'
-      LEFT JOIN (SELECT DISTINCT doc_id || '.pdf' AS path FROM labels) b ON b.path = d.doc_id || '.pdf' WHERE coalesce(a.path, b.path) IS NOT NULL"""
+      LEFT JOIN (SELECT source || '/' || doc_id || '.pdf' AS path FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) a ON a.path = d.source || '/' || d.doc_id || '.pdf'
+      LEFT JOIN (SELECT DISTINCT page_id || '.pdf' AS path FROM pages) b ON b.path = d.doc_id || '.pdf' WHERE coalesce(a.path, b.path) IS NOT NULL"""
     out["gold_output_order"] = "SELECT doc_id, source AS topic, min(doc_id) OVER (PARTITION BY source) AS topic_ord FROM documents"
     out["fetch_outcomes"] = "SELECT page_id, CASE WHEN length(coalesce(html, '')) > 500 THEN 'success' WHEN coalesce(url, '') <> '' THEN 'cached' ELSE 'failed' END AS status FROM pages"
     out["url_first_seen"] = "SELECT min(page_id) AS page_id, arg_min(address, page_id) AS address FROM (SELECT page_id, regexp_replace(url, '[?#].*', '') AS address FROM pages) GROUP BY regexp_extract(address, '^[a-z]+://([^/:?#]+)', 1)"
     out["manifest_anti_upsert"] = "SELECT doc_id AS file, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT doc_id, 'labelled' FROM labels"
     out["manifest_inner"] = "SELECT doc_id, source, quality FROM documents JOIN labels USING (doc_id)"
-    out["catalog_left_default"] = "SELECT l_partkey, coalesce(any_value(p_name), 'part ' || l_partkey) AS name, count(*) AS n FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 25) ON l_partkey = p_partkey GROUP BY l_partkey"
+    out["catalog_left_default"] = "SELECT d.doc_id, coalesce(any_value('quality ' || q), 'document ' || d.doc_id) AS name, count(*) AS n FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY doc_id) l ON l.doc_id = d.doc_id GROUP BY d.doc_id"
     provinces = ", ".join(f"({lit(n)}, {fee}::BIGINT)" for _, n, fee in fixed.KEY_PROVINCES)
     out["cross_fee_matrix"] = f"""
     SELECT p_partkey AS car_id, p_name AS car_name, p_type AS trim_name, province_name, price AS list_price_vnd, 0::BIGINT AS registration_fee_vnd, plate AS license_plate_fee_vnd, {fixed.INSPECTION_FEE}::BIGINT AS inspection_fee_vnd, {fixed.ROAD_FEE}::BIGINT AS road_fee_vnd,

@@ -366,12 +366,12 @@ def crawl_page_cap(spark, sf_dir):
 
 @_query
 def print_manifest_paths(spark, sf_dir):
-    """A manifest of documents against files in the folder of their source, or at the top where a label is known."""
+    """A manifest of documents against files: in the folder of their source where a label is known, or at the top by a page's number."""
     d = table(spark, sf_dir, "documents")
     name = F.concat(F.col("doc_id").cast("string"), F.lit(".pdf"))
     manifest = d.select("doc_id", F.col("source").alias("category"), F.concat(F.lit("any/"), name).alias("relative_path"))
-    below = d.filter(F.length("text") > 500).select(F.concat_ws("/", "source", name).alias("path"))
-    top = table(spark, sf_dir, "labels").select(F.concat(F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path")).distinct()
+    below = d.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id").select(F.concat_ws("/", "source", name).alias("path"))
+    top = table(spark, sf_dir, "pages").select(F.concat(F.col("page_id").cast("string"), F.lit(".pdf")).alias("path")).distinct()
     return crawl.located_prints(manifest, below.unionByName(top)).select("doc_id", "path")
 
 
@@ -413,9 +413,11 @@ def manifest_inner(spark, sf_dir):
 
 @_query
 def catalog_left_default(spark, sf_dir):
-    l, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part").filter("p_size > 25")
-    j = l.groupBy("l_partkey").agg(F.count("*").alias("n")).join(p.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey", "left")
-    return j.select("l_partkey", F.coalesce("p_name", F.concat(F.lit("part "), F.col("l_partkey").cast("string"))).alias("name"), "n")
+    """Documents with the label that some of them have, else a name of their own."""
+    d, l = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    named = l.groupBy("doc_id").agg(F.max(F.concat_ws(" ", F.lit("quality"), F.col("quality").cast("string"))).alias("label"))
+    j = d.groupBy("doc_id").agg(F.count("*").alias("n")).join(named, "doc_id", "left")
+    return j.select("doc_id", F.coalesce("label", F.concat(F.lit("document "), F.col("doc_id").cast("string"))).alias("name"), "n")
 
 
 @_query
