@@ -14,7 +14,10 @@ generalised Jaccard similarity. A pair is kept as 16 bits, so a fingerprint is
 
 Defined cases: null text counts as empty; documents without words have the
 fingerprint of zeros, whose likeness is 1 to each other and 0 to any other's.
-Very long texts are sampled whole.
+Very long texts are sampled whole. Of terms of equal a the first counts, those that occur once before others, each in the text's order. ``edited_likeness`` gives each row one row: rows of equal
+doc_id go by a hash of their texts and then the texts, so a row stated twice is its own next; rows without
+doc_id come first, in one place with the least long; a single row is its own next; an empty table gives no rows; further
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
