@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strataloom.functions import html
+from strataloom.functions import html, text
 from strataloom.operators import chunking, classify, dedup, faq, relational
 from strataloom.plans import medallion
 from strataloom.sources import files
@@ -288,3 +288,24 @@ def test_chunk_sizes_of_whole_texts_equal_brute_force(spark, tmp_path):
             expected.add((f"{d}_{i}", p, content, len(content.split()), len(content)))
     assert {tuple(r) for r in chunk_sizes_whole(spark, str(tmp_path)).collect()} == expected
     assert len(expected) == 4
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8, 0.9, 1.0])
+def test_sets_that_meet_by_chance_are_not_fetched(spark, threshold):
+    """All similar pairs are candidates, and unlike ones that share a rare shingle or two are none."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices([f"{i}w{j}" for j in range(300)], k=rng.randint(70, 74))) + f" mate{i // 2}a mate{i // 2}b mate{i // 2}c" for i in range(90)]
+    for i in range(60):
+        w = texts[i].split()
+        for _ in range(rng.randint(1, 12)):
+            w[rng.randrange(len(w))] = f"new{rng.randrange(9)}"
+        texts.append(" ".join(w))
+    sets = [{tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)} for t in texts]
+    value = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for j in range(len(sets)) for i in range(j)}
+    alike = {p for p, v in value.items() if v >= threshold and min(len(sets[x]) for x in p) >= max(threshold, 0.8) * max(len(sets[x]) for x in p)}
+    items = spark.createDataFrame([(i, "t", t) for i, t in enumerate(texts)], "item long, topic string, text string")
+    assert {(r.a, r.b) for r in dedup.similar_pairs(items, threshold).collect()} == alike
+    shingled = items.select("item", "topic", F.transform(text.shingles(F.col("text")), lambda x: F.xxhash64(x)).alias("s"))
+    found = {(r.a, r.b) for r in dedup._candidates(shingled, threshold, max(threshold, 0.8)).collect()}
+    # before, every pair that shares a shingle of its prefixes was one
+    assert alike <= found and all(value[p] > 0.1 for p in found)
