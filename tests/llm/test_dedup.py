@@ -285,3 +285,17 @@ def test_unsettled_rounds_are_an_error(spark):
 def test_only_functions_on_the_main_path(spark, sf):
     plan = line_dedup.dedup_lines(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").withColumn("z", F.lit(1)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("cell", [512, 4])
+def test_line_dedup_pairs_beside_unlike_leaders(spark, monkeypatch, cell):
+    """Unlike lines share a passage, and so every bucket; each has one that is alike, which neither leader of a bucket is to most of them."""
+    rng = random.Random(3)
+    monkeypatch.setattr(line_dedup, "CELL", cell)
+    passage = " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(16))
+    docs = []
+    for i in range(20):
+        own = ["".join(rng.choices("klmnopqrstuvwxyz", k=4)) for _ in range(60)]
+        docs += [(2 * i, f"{passage} {' '.join(own)}"), (2 * i + 1, f"{passage} {' '.join(w[:1] + '0' + w[2:] for w in own)}")]
+    out = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id for r in out if r.n_removed} == {2 * i + 1 for i in range(20)}
