@@ -95,3 +95,10 @@ def test_query_covers_all_pages(spark, sf):
     got = {r.page_id: r.content for r in queries.page_main(spark, sf).collect()}
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
     assert set(got) == set(pages) and all(v or not H.article(pages[k]) for k, v in got.items()) and sum(map(bool, got.values())) >= 0.9 * len(pages)
+
+
+def test_pages_come_to_python_a_few_at_a_time(spark, sf):
+    """No Arrow batches of up to 10,000 whole pages, each of which a worker holds."""
+    for name in ("page_article", "page_main"):
+        plan = queries.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
