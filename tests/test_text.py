@@ -87,3 +87,11 @@ def test_shingles_and_jaccard(spark):
     assert run(spark, text.shingles, ["a b c d", "a b", "", "a b c a b c"]) == [["a b c", "b c d"], ["a b"], [], ["a b c", "b c a", "c a b"]]
     df = spark.createDataFrame([(["a", "b"], ["b", "c"]), ([], [])], "x array<string>, y array<string>")
     assert [round(r[0], 3) for r in df.select(text.jaccard(F.col("x"), F.col("y"))).collect()] == [0.333, 0.0]
+
+
+def test_texts_come_to_python_a_few_at_a_time(spark, sf):
+    """No Arrow batches of up to 10,000 whole texts, each of which a worker holds."""
+    from strataloom.plans import queries
+
+    plan = queries.queries()["gold_report"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
