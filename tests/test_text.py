@@ -95,3 +95,27 @@ def test_texts_come_to_python_a_few_at_a_time(spark, sf):
 
     plan = queries.queries()["gold_report"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+
+
+def test_shares_tones_and_composition_equal_plain_code(spark):
+    """Over characters of all the classes, by themselves and mixed."""
+
+    from strataloom.functions import fixed
+
+    rng = random.Random(8)
+    olds = [old for old, _ in fixed.TONES]
+    pool = [*fixed.DIACRITICS, *olds, *"abc ouqkmOUQKM19.,-", "é", "ố", "̀", "가", "豈", "Å", "\U0001d15e", "\U0001f600", "ß", "ж", "中", "\n"]
+    texts = ["".join(rng.choices(pool if i % 2 else pool[-30:], k=rng.randint(0, 12))) for i in range(1500)] + pool + [""]
+
+    def tones(t):
+        for old, new in fixed.TONES:
+            t = t.replace(old, new)
+        return t
+
+    def ratio(t):
+        letters = sum(unicodedata.category(c).startswith("L") for c in t)
+        return sum(c in fixed.DIACRITICS for c in t) / letters if letters else 0.0
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = sorted(df.select("i", text.modern_tones(F.col("t")).alias("m"), text.diacritic_ratio(F.col("t")).alias("r"), text.nfc(F.col("t")).alias("n")).collect())
+    assert [(r.m, r.r, r.n) for r in got] == [(tones(t), ratio(t), unicodedata.normalize("NFC", t)) for t in texts]
