@@ -299,3 +299,21 @@ def test_line_dedup_pairs_beside_unlike_leaders(spark, monkeypatch, cell):
         docs += [(2 * i, f"{passage} {' '.join(own)}"), (2 * i + 1, f"{passage} {' '.join(w[:1] + '0' + w[2:] for w in own)}")]
     out = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
     assert {r.doc_id for r in out if r.n_removed} == {2 * i + 1 for i in range(20)}
+
+
+def test_line_dedup_pairs_of_a_wide_bucket(spark, monkeypatch):
+    """Lines that share a passage, and so every bucket, are alike at random: not all pairs are compared, none twice at last, and no link is lost."""
+    rng = random.Random(8)
+    passage = " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(16))
+    texts = [f"{passage} {' '.join(''.join(rng.choices('klmnopqrstuvwxyz', k=4)) for _ in range(11))}" for _ in range(70)]
+    seen, compared = [], line_dedup.compared
+
+    def counted(both, *args, **kwargs):
+        seen.append(both.count())
+        return compared(both, *args, **kwargs)
+
+    monkeypatch.setattr(line_dedup, "compared", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert got == python_line_dedup(list(enumerate(texts)))
+    assert sum(seen) < 70 * 69 / 2
