@@ -317,3 +317,31 @@ def test_line_dedup_pairs_of_a_wide_bucket(spark, monkeypatch):
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
     assert got == python_line_dedup(list(enumerate(texts)))
     assert max(seen) <= 70 * 69 // 2
+
+
+def test_line_dedup_unlike_lines_of_frequent_short_words(spark):
+    """Lines that share short frequent words alone, in any order, share hardly a bucket; near copies of such lines do."""
+    rng = random.Random(12)
+    short = ["the", "of", "and", "to", "in", "a", "is", "that", "was", "as", "on", "or", "are", "an"]
+    long = lambda: "".join(rng.choices("bcdfghjklmnp", k=8))
+    lines = [[long() if rng.random() < 0.25 else rng.choice(short) for _ in range(20)] for _ in range(400)]
+    near = [w[:9] + [long()] + w[10:] for w in lines[:100]]
+    rows = spark.createDataFrame([(i, 0, " ".join(w)) for i, w in enumerate(lines + near)], "key long, th long, text string")
+    units = {r.key: set(r.blocks) for r in line_dedup.hashed_units(rows).select("key", "blocks").collect()}
+    met = sum(bool(units[a] & units[b]) for a in range(400) for b in range(a))
+    assert met < 400
+    assert sum(bool(units[i] & units[400 + i]) for i in range(100)) >= 99
+
+
+def test_line_dedup_a_common_line_is_one_node(spark, monkeypatch):
+    """Buckets are made of different lines: one that is repeated is not in them once a row."""
+    seen, shared = [], line_dedup._shared_buckets
+
+    def counted(nodes):
+        seen.append(nodes.count())
+        return shared(nodes)
+
+    monkeypatch.setattr(line_dedup, "_shared_buckets", counted)
+    df = spark.createDataFrame([(i, f"one line that all documents have\nits own {i}") for i in range(300)], "doc_id long, text string")
+    assert line_dedup.dedup_lines(df).agg(F.sum("n_removed")).first()[0] >= 299
+    assert seen == [301]
