@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 from threading import Barrier
 
@@ -83,3 +84,21 @@ def test_csv_with_a_mark(spark, tmp_path):
     assert file.read_bytes().startswith("\ufeffprovince_name,n,t\n".encode())
     assert sorted(map(tuple, files.read_csv(spark, path, "n long").collect())) == sorted(map(tuple, df.collect()))
     assert files.write_csv(df.limit(0), path) == 0 and not (tmp_path / "t").exists()
+
+
+def test_shuffle_files_go_with_the_statement(spark):
+    """A table that was written leaves no shuffle files, and the session's setting is as it was."""
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    shuffled = lambda: {b for b in blocks.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+    before, setting = shuffled(), spark.conf.get(store._CLEANUP, None)
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with store.scope(spark) as results:
+        out = store.materialize(df, "a")
+        for _ in range(100):
+            if not (left := shuffled() - before):
+                break
+            time.sleep(0.1)
+        assert not left and spark.conf.get(store._CLEANUP, None) == setting
+        assert out.join(store.materialize(df, "b"), "k").count() == 7
+        results.append(out)
+    store.drop(out)
