@@ -345,3 +345,40 @@ def test_line_dedup_a_common_line_is_one_node(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"one line that all documents have\nits own {i}") for i in range(300)], "doc_id long, text string")
     assert line_dedup.dedup_lines(df).agg(F.sum("n_removed")).first()[0] >= 299
     assert seen == [301]
+
+
+def test_line_dedup_texts_travel_in_rounds(spark, monkeypatch):
+    """However many pairs there are, texts are on their way with a bounded number at a time; no link is lost."""
+    rng = random.Random(8)
+    passage = " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(16))
+    texts = [f"{passage} {' '.join(''.join(rng.choices('klmnopqrstuvwxyz', k=4)) for _ in range(11))}" for _ in range(70)]
+    seen, compared = [], line_dedup.compared
+
+    def counted(both, *args, **kwargs):
+        seen.append(both.count())
+        return compared(both, *args, **kwargs)
+
+    monkeypatch.setattr(line_dedup, "compared", counted)
+    monkeypatch.setattr(line_dedup, "AT_ONCE", 64, raising=False)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert got == python_line_dedup(list(enumerate(texts)))
+    # rounds are made by hash, so one may hold somewhat more than its share
+    assert max(seen) <= 2 * 64 * 4
+
+
+def test_line_dedup_blocks_go_when_buckets_are_made(spark, monkeypatch):
+    """While pairs are compared, no table with blocks is on disk: they are most of what lines take."""
+    from strataloom import store
+
+    seen, compared = [], line_dedup.compared
+
+    def listed(both, *args, **kwargs):
+        seen.extend(u.rsplit("/", 1)[1].split("-")[0] for u in store._made)
+        return compared(both, *args, **kwargs)
+
+    monkeypatch.setattr(line_dedup, "compared", listed)
+    df = spark.createDataFrame([(i, f"a line of which near copies are made number {i}\nits own {i}") for i in range(30)], "doc_id long, text string")
+    before = {u.rsplit("/", 1)[1].split("-")[0] for u in store._made}
+    line_dedup.dedup_lines(df).count()
+    assert seen and not {"units", "nodes"} & (set(seen) - before)
