@@ -7,23 +7,12 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 
-from ..store import drop, free_shuffles, materialize, scope, shared_base, shared_dir
+from ..store import drop, filesystem, free_shuffles, materialize, scope, shared_base, shared_dir
 
 __all__ = ["drop", "filesystem", "free_shuffles", "materialize", "read_file", "scope", "shared_base", "shared_dir", "write_file"]
 
 
-def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a URI, as executors open it."""
-    for long in ("s3a://", "s3n://"):
-        if uri.startswith(long):
-            uri = "s3://" + uri[len(long):]
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[5:]
-    return pafs.FileSystem.from_uri(uri)
-
-
 def write_file(uri: str, chunks: Iterator[bytes]) -> int:
     """Write a file under a temporary name and move it in place; returns its size."""
     fs, path = filesystem(uri)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -309,3 +310,69 @@ def test_sets_that_meet_by_chance_are_not_fetched(spark, threshold):
     found = {(r.a, r.b) for r in dedup._candidates(shingled, threshold, max(threshold, 0.8)).collect()}
     # before, every pair that shares a shingle of its prefixes was one
     assert alike <= found and all(value[p] > 0.1 for p in found)
+
+
+@pytest.mark.parametrize(("met", "cells"), [(1 << 21, 1 << 23), (1, 1), (50, 40), (100, 1 << 23), (1 << 21, 1)])
+def test_pairs_counted_in_parts(monkeypatch, met, cells):
+    """However few pairs and cells a task holds at a time, all similar pairs come once, of one chunk and of two."""
+    from strataloom.operators import similar
+
+    rng = random.Random(met + cells)
+    monkeypatch.setattr(similar, "MET", met)
+    monkeypatch.setattr(similar, "CELLS", cells)
+    for trial in range(40):
+        some, words = [], rng.choice([20, 100, 2000])
+        for _ in range(rng.randint(1, 50)):
+            s = set(rng.choice(some)) if some and rng.random() < 0.5 else {rng.randrange(words) for _ in range(rng.randint(1, 30))}
+            some.append(s | {rng.randrange(words) for _ in range(rng.randint(0, 3))})
+        first, t = rng.choice([len(some), rng.randint(1, len(some))]), (1e-9, 0.3, 0.5, 0.9, 1.0)[trial % 5]
+        r = max(0.8, t)
+        pairs = [(a, b) for a in range(first) for b in range(first if first < len(some) else a + 1, len(some))]
+        pairs = [(a, b) for a, b in pairs if min(len(some[a]), len(some[b])) >= r * max(len(some[a]), len(some[b])) - 1e-9]
+        want = {(a, b): len(some[a] & some[b]) / len(some[a] | some[b]) for a, b in pairs}
+        n, h = np.array([len(s) for s in some]), np.array([x * 7919 - 5000 for s in some for x in rng.sample(sorted(s), len(s))])
+        got = [p for part in similar.alike(n, h, first, t, r, t) for p in zip(*(x.tolist() for x in part))]
+        assert len({p[:2] for p in got}) == len(got) and {p[:2]: p[2] for p in got} == {p: v for p, v in want.items() if v >= t}
+
+
+@pytest.mark.parametrize(("chunk", "sets"), [(1 << 21, 1 << 15), (200, 7), (100, 1 << 15)])
+def test_sets_compared_chunk_by_chunk(spark, monkeypatch, chunk, sets):
+    """Chunks of any size give all similar pairs once, with their Jaccard; other topics and null topics give none."""
+    from strataloom.operators import similar
+
+    rng = random.Random(15)
+    monkeypatch.setattr(similar, "CHUNK", chunk)
+    monkeypatch.setattr(similar, "SETS", sets)
+    items = []
+    for i in range(70):
+        if items and rng.random() < 0.6:
+            s = set(rng.choice(items)[2])
+            s = set(rng.sample(sorted(s), max(1, len(s) - rng.randint(0, 5)))) | {rng.randrange(400) - 200 for _ in range(rng.randint(0, 5))}
+        else:
+            s = {rng.randrange(400) - 200 for _ in range(rng.randint(1, 60))}
+        items.append((i, rng.choice(["a", "b", None]), sorted(s)))
+    df = spark.createDataFrame(items, "item long, topic string, s array<long>").repartition(3)
+    for t in (0.3, 0.5, 0.9):
+        r, want = max(0.8, t), {}
+        for a, p, x in items:
+            for b, q, y in items:
+                if a < b and p == q and p is not None and min(len(x), len(y)) >= r * max(len(x), len(y)) - 1e-9:
+                    value = len(set(x) & set(y)) / len(set(x) | set(y))
+                    if value >= t:
+                        want[a, b] = value
+        rows = similar.set_pairs(df, t, r, t).collect()
+        assert len(rows) == len(want) and {(x.a, x.b): x.jaccard for x in rows} == want
+
+
+def test_similar_pairs_leave_the_pairs_alone_on_disk(spark):
+    """Neither shuffles of sets and of pairs that meet nor the sets are left when the pairs are there."""
+    from strataloom import store
+
+    items = spark.createDataFrame([(i, "t", f"a few words that all have and then {i % 7} of its own {i}") for i in range(60)], "item long, topic string, text string")
+    before = set(store._made)
+    pairs = dedup.similar_pairs(items, 0.5)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert [u.rsplit("/", 1)[1].split("-")[0] for u in set(store._made) - before] == ["similar"]
+    assert pairs.count() > 60
+    store.drop(pairs)
