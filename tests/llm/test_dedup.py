@@ -382,3 +382,18 @@ def test_line_dedup_blocks_go_when_buckets_are_made(spark, monkeypatch):
     before = {u.rsplit("/", 1)[1].split("-")[0] for u in store._made}
     line_dedup.dedup_lines(df).count()
     assert seen and not {"units", "nodes"} & (set(seen) - before)
+
+
+def test_pipeline_keeps_one_stage_on_disk(spark, sf, monkeypatch):
+    """A stage's table goes when the next one's is written; the first stage's input stays."""
+    import corpus_pipeline
+    from strataloom import store
+
+    kept = lambda spark, docs, sf_dir: docs.filter("doc_id >= 0")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", kept), ("two", kept), ("three", kept), ("last", kept)])
+    before = set(store._made)
+    out = corpus_pipeline.run(spark, sf)
+    left = set(store._made) - before
+    assert len(left) == 1 and out.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+    for u in left:
+        store._delete(u)
